@@ -117,8 +117,8 @@ docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w F
 sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
     ELSE list_distinct([array_to_string(w[i:i + {k - 1}], ' ') for i in range(1, len(w) - {k - 2})]) END AS s FROM docs),
 items AS (SELECT doc_id, unnest(s) AS x FROM sets),
-both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
-links AS (SELECT a, b FROM both JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * n >= {percent} * (len(x.s) + len(y.s) - n)),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * n >= {percent} * (len(x.s) + len(y.s) - n)),
 reach AS (SELECT doc_id AS node, doc_id AS other FROM sets
     UNION SELECT node, CASE WHEN other = a THEN b ELSE a END FROM reach JOIN links ON other = a OR other = b),
 named AS (SELECT node AS doc_id, min(other) AS component_id FROM reach GROUP BY node)"""
