@@ -25,6 +25,8 @@ from .textcols import LOWER, MIX, SEQ, U, WHITE, chunks, mix, prefix, ranges, to
 BAND = 1.4
 #: Points in a leaf of the R-tree, and rows of a cell that one task compares with as many others.
 LEAF, BLOCK = 32, 512
+#: Rounds in which the nodes outside a cell's largest component are tested against one more node of it.
+STAR_ROUNDS = 2
 #: Bytes of a shingle's hash that verification compares.
 BYTES = 5
 #: The low bits of a cell are its band.
@@ -205,32 +207,60 @@ class RTree:
 PAIR = "a long, b long"
 
 
-def _tree_pairs(percent: int):
-    """Pairs from rows sorted by task (cell, lo, hi); a task has 2 * BLOCK rows at most, so an unfinished one is kept until the next batch."""
+def _tree_links(percent: int):
+    """Links from rows sorted by task (cell, lo, hi).
 
-    def task(block, keys, labels, sizes, counts) -> np.ndarray:
+    Pairs that the trees leave are verified here, best bound first, and pairs that links found so far connect
+    are skipped: what comes out of a task is a forest over its rows.  A task has 2 * BLOCK rows at most,
+    so an unfinished one is kept until the next batch.
+    """
+
+    def task(block, keys, labels, sizes, counts, items) -> list[tuple[int, int]]:
+        if len(np.unique(labels)) < 2:
+            return []
         points = np.frombuffer(b"".join(counts), np.uint8).reshape(len(counts), -1)
         sides = [np.flatnonzero(block == x) for x in np.unique(block)]
         trees = [RTree(points[x], sizes[x], labels[x]) for x in sides]
-        out = [np.stack([keys[sides[0][x]], keys[sides[-1][y]]], axis=1) for x, y in trees[0].pairs(trees[-1], percent)]
-        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        sets: dict[int, np.ndarray] = {}
+        out = []
+        for x, y in trees[0].pairs(trees[-1], percent):
+            x, y = sides[0][x], sides[-1][y]
+            order = np.argsort(-overlap_bound(points[x], points[y]), kind="stable")
+            for i, j in zip(x[order].tolist(), y[order].tolist(), strict=True):
+                a, b = root(int(labels[i])), root(int(labels[j]))
+                if a == b:
+                    continue
+                for k in (i, j):
+                    if k not in sets:
+                        sets[k] = _unpacked(items[k])
+                if len(np.intersect1d(sets[i], sets[j], assume_unique=True)) >= needed(int(sizes[i]), int(sizes[j]), percent):
+                    parent[a] = b
+                    out.append((int(max(keys[i], keys[j])), int(min(keys[i], keys[j]))))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in _with_end(batches):
-            table = pa.Table.from_batches([x for x in (rest, batch) if x is not None]).combine_chunks() if rest is not None or batch is not None else None
-            if table is None or not table.num_rows:
+            both = [x for x in (rest, batch) if x is not None]
+            if not both:
                 continue
+            table = pa.Table.from_batches(both).combine_chunks()
             cols = [table.column(i).to_numpy() for i in range(7)]
-            counts = table.column(7).to_pylist()
+            counts, items = table.column(7).to_pylist(), table.column(8).to_pylist()
             new = np.append(True, (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1]))
             head = np.append(np.flatnonzero(new), len(counts))
             done = len(head) - 1 if batch is None else len(head) - 2
-            found = [task(*[c[head[i] : head[i + 1]] for c in cols[3:]], counts[head[i] : head[i + 1]]) for i in range(done)]
+            found = [x for i in range(done) for x in task(*[c[head[i] : head[i + 1]] for c in cols[3:]], counts[head[i] : head[i + 1]], items[head[i] : head[i + 1]])]
             rest = table.slice(head[done]).combine_chunks().to_batches()[0] if batch is not None else None
-            both = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-            both = np.unique(np.sort(both, axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 1].copy()), pa.array(both[:, 0].copy())], ["a", "b"])
+            links = np.unique(np.array(found, np.int64).reshape(-1, 2), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(links[:, 0].copy()), pa.array(links[:, 1].copy())], ["a", "b"])
 
     return run
 
@@ -283,8 +313,9 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     comes back null; repeated rows, or rows with one id, are documents of their own that share what they
     are linked with; an empty table gives no rows.
 
-    Equal sets are one node.  Every meeting of nodes is tested with its cell's first node; where nodes of
-    a cell are then still in different components, all its pairs across components go through the R-tree.
+    Equal sets are one node.  Each node is tested against the first node of each of its cells, then those outside a
+    cell's largest component against others; what is still in different components goes, with all pairs
+    across components, through the R-tree.
     """
     base = docs.select(id_key(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
     points = materialize(base.mapInArrow(_points(k, percent), POINT), "jaccard-points")
@@ -302,21 +333,32 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     sets = materialize(base.join(wanted, "doc", "left_semi").mapInArrow(_sets(k, percent), SET), "jaccard-sets")
     links = materialize(_check(stars, sets, percent), "jaccard-links")
     now = materialize(components(links), "jaccard-components")
-    # Cells whose nodes are not all in one component, one cell for each set of nodes.
-    placed = met.select("cell", "key").distinct().join(now, F.col("key") == F.col("node"), "left").select("cell", "key", F.coalesce("component", "key").alias("component"))
-    placed = materialize(placed, "jaccard-placed")
-    state = placed.groupBy("cell").agg(F.count("*").alias("size"), F.sum(F.pmod(F.xxhash64("key"), F.lit(2**40))).alias("sum"), F.expr("bit_xor(xxhash64(key, 7))").alias("xor"), (F.min("component") != F.max("component")).alias("open"))
-    open_ = materialize(state.where("open AND size > 2").groupBy("size", "sum", "xor").agg(F.min("cell").alias("cell")).select("cell", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks")), "jaccard-open")
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    vectors = sets.select("key", "n", F.explode(F.arrays_zip("bands", "counts")).alias("v")).select("key", "n", F.col("v.bands").alias("band"), F.col("v.counts").alias("counts"))
+    cell_keys = materialize(met.select("cell", "key").distinct(), "jaccard-cells")
+    for again in range(STAR_ROUNDS):
+        # Nodes outside their cell's largest component against another of its nodes in each cell.
+        placed, largest = _placed(cell_keys, now)
+        chosen = placed.join(largest, ["cell", "component"]).groupBy("cell").agg(F.min(F.struct(F.xxhash64("key", "cell", F.lit(again)).alias("h"), F.col("key").alias("k"))).alias("least")).select("cell", F.col("least.k").alias("pivot"))
+        outside = placed.join(largest.withColumnRenamed("component", "main"), "cell").where("component <> main").join(chosen, "cell")
+        tried = outside.select(F.greatest("key", "pivot").alias("a"), F.least("key", "pivot").alias("b")).distinct()
+        links = materialize(links.unionByName(_check(tried, sets, percent)), "jaccard-links")
+        now = materialize(components(links), "jaccard-components")
+    # What is still open goes through the tree: in each cell all pairs across components, one cell for each set of nodes.
+    placed, largest = _placed(cell_keys, now)
+    state = placed.groupBy("cell").agg(F.count("*").alias("size"), F.sum(F.pmod(F.xxhash64("key"), F.lit(2**40))).alias("sum"), F.expr("bit_xor(xxhash64(key, 7))").alias("xor"))
+    inside = placed.join(largest, ["cell", "component"]).groupBy("cell").agg(F.count("*").alias("inside"))
+    state = state.join(inside, "cell").join(largest.withColumnRenamed("component", "main"), "cell").where("inside < size AND size > 2")
+    open_ = state.groupBy("size", "sum", "xor").agg(F.min(F.struct("cell", "inside", "main")).alias("s")).select(F.col("s.cell").alias("cell"), F.col("s.main").alias("main"), F.ceil(F.col("s.inside") / F.lit(BLOCK)).cast("int").alias("main_blocks"), F.ceil((F.col("size") - F.col("s.inside")) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    open_ = materialize(open_, "jaccard-open")
+    vectors = sets.select("key", "n", "items", F.explode(F.arrays_zip("bands", "counts")).alias("v")).select("key", "n", "items", F.col("v.bands").alias("band"), F.col("v.counts").alias("counts"))
     rows = placed.join(open_, "cell").withColumn("band", F.col("cell").bitwiseAND(F.lit(BAND_MASK)).cast("int")).join(vectors, ["key", "band"])
-    rows = rows.withColumn("block", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    tasks = rows.select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "component", F.col("n").cast("long").alias("n"), "counts")
+    # Blocks of the largest component meet the blocks of the others, never each other.
+    is_main = F.col("component") == F.col("main")
+    rows = rows.withColumn("block", F.when(is_main, F.pmod(F.xxhash64("key"), "main_blocks")).otherwise(F.col("main_blocks") + F.pmod(F.xxhash64("key"), "blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.when(is_main, F.expr("sequence(main_blocks, main_blocks + blocks - 1)")).otherwise(F.expr("sequence(0, main_blocks + blocks - 1)"))))
+    tasks = rows.select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "component", F.col("n").cast("long").alias("n"), "counts", "items")
     tasks = tasks.repartition(parts, "cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi")
-    more = tasks.mapInArrow(_tree_pairs(percent), PAIR).distinct()
-    more = materialize(more.join(stars, ["a", "b"], "left_anti"), "jaccard-more")
-    every = links.unionByName(_check(more, sets, percent))
-    final = materialize(components(every), "jaccard-components")
+    more = materialize(tasks.mapInArrow(_tree_links(percent), PAIR).distinct(), "jaccard-more")
+    final = materialize(components(links.unionByName(more)), "jaccard-components")
     named = nodes.join(final, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "key").alias("component"))
     least = materialize(named.groupBy("component").agg(F.min("rep").alias("least")), "jaccard-least")
     of_key = materialize(named.join(least, "component").select("key", "least"), "jaccard-classes")
@@ -324,6 +366,14 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     return out.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.nullif(F.coalesce(F.when(F.col("n") > 0, F.col("least")), F.col("doc")), F.lit(NULL_ID)).alias("component_id"), F.col("key").alias("set_key"))
 
 
+def _placed(cells_: DataFrame, now: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cell, key, component) with more than one component in the cell, and (cell, component) of its largest one."""
+    placed = materialize(cells_.join(now, F.col("key") == F.col("node"), "left").select("cell", "key", F.coalesce("component", "key").alias("component")), "jaccard-placed")
+    sizes = placed.groupBy("cell", "component").agg(F.count("*").alias("n")).groupBy("cell").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts"))
+    largest = materialize(sizes.where("parts > 1").select("cell", F.col("m.component").alias("component")), "jaccard-largest")
+    return placed, largest
+
+
 def _check(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     side = lambda s: sets.select(F.col("key").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "items", "bands", "counts")])
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(percent), PAIR)
