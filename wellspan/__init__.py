@@ -1,0 +1 @@
+"""Spark-native analytics for high-content-screening image data."""

@@ -1,0 +1,116 @@
+"""Array operators over exploded planes: a row per pixel (stack keys, t, c, z, y, x, v)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+PIXEL = ("t", "c", "y", "x")
+
+
+def project_max(px: DataFrame) -> DataFrame:
+    """Maximum over Z of each pixel; partial maxima are combined before the shuffle."""
+    return px.groupBy(*PIXEL).agg(F.max("v").alias("v"))
+
+
+def brightest_z(px: DataFrame) -> DataFrame:
+    """(z): the slice of the whole stack with the largest mean, the lowest on ties.  One row per slice is ranked."""
+    means = px.groupBy("z").agg(F.sum("v").alias("s"), F.count("*").alias("n"))
+    return means.orderBy(F.desc(F.col("s") / F.col("n")), "z").limit(1).select("z")
+
+
+def project_brightest(px: DataFrame) -> DataFrame:
+    """The brightest slice's pixels.  The choice has one row, so it is broadcast and other slices drop at the scan."""
+    return px.join(F.broadcast(brightest_z(px)), "z").select(*PIXEL, "z", "v")
+
+
+def entropies(px: DataFrame) -> DataFrame:
+    """(t, c, z, entropy): -sum d log2 d over 256 equal bins, d the density; the last bin is closed.
+
+    A constant slice has the range v - 0.5 to v + 0.5.
+    """
+    keys = ["t", "c", "z"]
+    limits = px.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"))
+    flat = F.col("lo") == F.col("hi")
+    limits = limits.select(*keys, "n", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo").cast("double")).alias("lo"), F.when(flat, F.lit(1.0)).otherwise((F.col("hi") - F.col("lo")).cast("double")).alias("span"))
+    binned = px.join(limits, keys).withColumn("bin", F.least(F.lit(255), F.floor((F.col("v") - F.col("lo")) * 256 / F.col("span"))))
+    density = F.col("k") / (F.col("n") * F.col("span") / 256)
+    return binned.groupBy(*keys, "bin", "n", "span").agg(F.count("*").alias("k")).groupBy(*keys).agg((-F.sum(density * F.log2(density))).alias("entropy"))
+
+
+def project_entropy(px: DataFrame, most: bool = True) -> DataFrame:
+    """Per (t, c) the slice with the largest (or least) entropy, rounded to 9 digits, lowest z on ties."""
+    e = F.round("entropy", 9)
+    order = Window.partitionBy("t", "c").orderBy(e.desc() if most else e.asc(), "z")
+    best = entropies(px).withColumn("rank", F.row_number().over(order)).where("rank = 1").select("t", "c", "z")
+    return px.join(best, ["t", "c", "z"]).select(*PIXEL, "z", "v")
+
+
+def flat_field(px: DataFrame, flat: DataFrame) -> DataFrame:
+    """(v - dark) * mean(flat - dark) / (flat - dark), cut to 0..65535 and truncated.
+
+    ``flat`` has (y, x, dark, flat).  Where flat equals dark the gain is 0, as an infinite gain is set to 0.
+    """
+    ref = flat.select("y", "x", "dark", (F.col("flat") - F.col("dark")).alias("ff"))
+    mean = ref.agg(F.avg("ff").alias("mean"))
+    gain = F.when(F.col("ff") == 0, 0.0).otherwise(F.col("mean") / F.col("ff"))
+    ref = ref.join(F.broadcast(mean)).select("y", "x", "dark", gain.alias("gain"))
+    value = F.floor(F.least(F.lit(65535.0), F.greatest(F.lit(0.0), (F.col("v") - F.col("dark")) * F.col("gain")))).cast("int")
+    return px.join(ref, ["y", "x"]).select("t", "c", "z", "y", "x", value.alias("v"))
+
+
+def feather(at: Column, size: int, overlap: int) -> Column:
+    """Ramp (i + 1) / (overlap + 1) at each edge, 1 between; the far edge overwrites where they meet."""
+    far = F.lit(size) - at
+    return F.when(far <= overlap, far / F.lit(overlap + 1.0)).when(at < overlap, (at + 1) / F.lit(overlap + 1.0)).otherwise(1.0)
+
+
+def stitch(tiles: DataFrame, height: int, width: int, overlap: int) -> DataFrame:
+    """Feathered mosaic of tiles (t, c, z, ty, tx, y, x, v): sum(v * w) / sum(w), truncated.
+
+    Tiles stand at steps of size - overlap by the rank of their index; places no tile covers have no row.
+    """
+    grid = tiles.select("ty", "tx").distinct()
+    rows = grid.select("ty").distinct().withColumn("gy", F.dense_rank().over(Window.orderBy("ty")) - 1)
+    cols = grid.select("tx").distinct().withColumn("gx", F.dense_rank().over(Window.orderBy("tx")) - 1)
+    placed = tiles.join(F.broadcast(rows), "ty").join(F.broadcast(cols), "tx")  # one short row per tile row and column
+    weight = feather(F.col("y"), height, overlap) * feather(F.col("x"), width, overlap)
+    placed = placed.select("t", "c", "z", (F.col("gy") * max(height - overlap, 1) + F.col("y")).cast("int").alias("y"), (F.col("gx") * max(width - overlap, 1) + F.col("x")).cast("int").alias("x"), "v", weight.alias("w"))
+    mean = F.sum(F.col("v") * F.col("w")) / F.greatest(F.sum("w"), F.lit(1e-9))
+    return placed.groupBy("t", "c", "z", "y", "x").agg(F.floor(F.round(F.least(F.lit(65535.0), F.greatest(F.lit(0.0), mean)), 6)).cast("int").alias("v"))
+
+
+def decimate(px: DataFrame, level: int) -> DataFrame:
+    """Every 2**level-th pixel along Y and X."""
+    k = 2**level
+    return px.where((F.col("y") % k == 0) & (F.col("x") % k == 0)).select("t", "c", "z", F.expr(f"CAST(y div {k} AS INT)").alias("y"), F.expr(f"CAST(x div {k} AS INT)").alias("x"), "v")
+
+
+def pyramid(px: DataFrame, levels: int) -> DataFrame:
+    out = decimate(px, 0).withColumn("level", F.lit(0))
+    for k in range(1, levels):
+        out = out.unionAll(decimate(px, k).withColumn("level", F.lit(k)))
+    return out
+
+
+def level_count(height: Column, width: Column, most: int = 4, least: int = 16) -> Column:
+    """Levels until an axis would fall under ``least`` pixels, at least one."""
+    fits = F.filter(F.sequence(F.lit(1), F.lit(most - 1)), lambda k: (F.shiftright(height, 0) >= least * F.pow(F.lit(2), k)) & (width >= least * F.pow(F.lit(2), k)))
+    return (F.size(fits) + 1).cast("int")
+
+
+def block_mean(px: DataFrame, k: int, height: int, width: int) -> DataFrame:
+    """Mean of k x k blocks, the remainder cropped, truncated."""
+    kept = px.where((F.col("y") < height // k * k) & (F.col("x") < width // k * k))
+    return kept.groupBy("t", "c", "z", F.expr(f"CAST(y div {k} AS INT)").alias("y"), F.expr(f"CAST(x div {k} AS INT)").alias("x")).agg(F.floor(F.avg("v")).cast("int").alias("v"))
+
+
+def display_window(px: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
+    """(c, lo, hi): exact percentiles by channel, rounded to 6 digits."""
+    return px.groupBy("c").agg(F.round(F.percentile("v", F.lit(low)), 6).alias("lo"), F.round(F.percentile("v", F.lit(high)), 6).alias("hi"))
+
+
+def stretch8(px: DataFrame, window: DataFrame) -> DataFrame:
+    """8-bit contrast stretch between the channel's lo and hi (one row per channel)."""
+    value = (F.col("v") - F.col("lo")) / F.greatest(F.col("hi") - F.col("lo"), F.lit(1.0)) * 255
+    return px.join(F.broadcast(window), "c").select(*PIXEL, "z", F.floor(F.round(F.least(F.lit(255.0), F.greatest(F.lit(0.0), value)), 6)).cast("int").alias("v"))
