@@ -70,6 +70,8 @@ def scan(docs: DataFrame, bench: DataFrame, n: int = 10, *, id_col: str = "doc_i
         found.append(f"IF(size(w) >= {length}, transform({at}, i -> struct(i + 1 AS at, {length} AS len, {gram} AS gram)), cast(array() AS array<struct<at:int,len:int,gram:string>>))")
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep_row else []
     base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), normal_words(text_or_empty(text_col)).alias("w"), *row)
+    if not small:
+        base = materialize(base, "bench-words")  # row numbers must be the same wherever they are used
     hits = f"concat({', '.join(found)})" if found else "cast(array() AS array<struct<at:int,len:int,gram:string>>)"
     kept = ["row"] if keep_row else []
     base = base.select("rid", "doc_id", F.size("w").cast("long").alias("n_words"), F.expr(hits).alias("hits"), *kept)

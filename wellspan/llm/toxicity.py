@@ -240,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     sizes = {r[0]: r[1] for r in train.groupBy("toxic").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic:
-        return Model(base=1.0 / (clean + 2.0))
+        return Model(base=min(0.45, 1.0 / (clean + 2.0)))
     least = max(2, toxic // 200)
     words = train.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{Nd}_]+"), F.lit(0)))).alias("w"))
     counts = words.groupBy("w").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
