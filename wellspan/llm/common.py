@@ -12,14 +12,16 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Stands for a null id wherever ids are ordered: a null comes last.
 NULL_ID = 2**63 - 1
+#: Scratch folder of an application whose session names none.
+_LOCAL: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="wellspan-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    if not root:  # the setting can't be changed in a running session
+        root = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="wellspan-")
+        _LOCAL[spark.sparkContext.applicationId] = root
     return f"{root.rstrip('/')}/wellspan-{spark.sparkContext.applicationId}"
 
 
