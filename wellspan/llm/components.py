@@ -13,25 +13,27 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star rounds (Kiveris et al., 2014): each keeps as many edges as
     there are nodes and edges at most, and neither collects a node's neighbours.  Loops and repeated
-    edges are fine; an empty table gives no rows.  Rounds end when the edges are stars and stop changing.
+    edges are fine; an empty table gives no rows.  Rounds end when the edges are stars.
     """
     now = materialize(_oriented(edges.select("a", "b")), "edges")
-    before = None
-    while True:
+    while not _are_stars(now):
         # Large star: neighbours above a node go to the least of its neighbourhood.
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = _oriented(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        large = materialize(large, "large-star")
         # Small star: a node and its lower neighbours go to the least of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = _oriented(small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))))
-        now = materialize(small, "small-star")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = state
+        now = materialize(small, "stars")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one edge down and no edge up, or none down: then its component is known."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return nodes.where("down > 1 OR (down = 1 AND up = 1)").isEmpty()
 
 
 def _oriented(edges: DataFrame) -> DataFrame:

@@ -25,8 +25,6 @@ from .textcols import LOWER, MIX, SEQ, U, WHITE, chunks, mix, prefix, ranges, to
 BAND = 1.4
 #: Points in a leaf of the R-tree, and rows of a cell that one task compares with as many others.
 LEAF, BLOCK = 32, 512
-#: Rounds in which the nodes outside a cell's largest component are tested against one more node of it.
-STAR_ROUNDS = 2
 #: Bytes of a shingle's hash that verification compares.
 BYTES = 5
 #: The low bits of a cell are its band.
@@ -313,9 +311,8 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     comes back null; repeated rows, or rows with one id, are documents of their own that share what they
     are linked with; an empty table gives no rows.
 
-    Equal sets are one node.  Each node is tested against the first node of each of its cells, then those outside a
-    cell's largest component against others; what is still in different components goes, with all pairs
-    across components, through the R-tree.
+    Equal sets are one node.  Each node is tested against the first node of each of its cells; what is then still in
+    different components goes, with all pairs across components, through the R-tree.
     """
     base = docs.select(id_key(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
     points = materialize(base.mapInArrow(_points(k, percent), POINT), "jaccard-points")
@@ -334,14 +331,6 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     links = materialize(_check(stars, sets, percent), "jaccard-links")
     now = materialize(components(links), "jaccard-components")
     cell_keys = materialize(met.select("cell", "key").distinct(), "jaccard-cells")
-    for again in range(STAR_ROUNDS):
-        # Nodes outside their cell's largest component against another of its nodes in each cell.
-        placed, largest = _placed(cell_keys, now)
-        chosen = placed.join(largest, ["cell", "component"]).groupBy("cell").agg(F.min(F.struct(F.xxhash64("key", "cell", F.lit(again)).alias("h"), F.col("key").alias("k"))).alias("least")).select("cell", F.col("least.k").alias("pivot"))
-        outside = placed.join(largest.withColumnRenamed("component", "main"), "cell").where("component <> main").join(chosen, "cell")
-        tried = outside.select(F.greatest("key", "pivot").alias("a"), F.least("key", "pivot").alias("b")).distinct()
-        links = materialize(links.unionByName(_check(tried, sets, percent)), "jaccard-links")
-        now = materialize(components(links), "jaccard-components")
     # What is still open goes through the tree: in each cell all pairs across components, one cell for each set of nodes.
     placed, largest = _placed(cell_keys, now)
     state = placed.groupBy("cell").agg(F.count("*").alias("size"), F.sum(F.pmod(F.xxhash64("key"), F.lit(2**40))).alias("sum"), F.expr("bit_xor(xxhash64(key, 7))").alias("xor"))
