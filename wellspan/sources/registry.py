@@ -1,4 +1,4 @@
-"""JSON sources: the experiment registry and the attributes of written image groups."""
+"""The experiment registry, a JSON file for each experiment."""
 
 from __future__ import annotations
 
@@ -15,10 +15,3 @@ def read_experiments(spark: SparkSession, root: str) -> DataFrame:
     folder = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
     created = F.coalesce("created", F.date_format(F.col("_metadata.file_modification_time"), "yyyy-MM-dd'T'HH:mm:ss"))
     return raw.select(F.url_decode(folder).alias("folder"), *[created.alias(c) if c == "created" else F.col(c) for c in raw.columns]).orderBy(F.desc("created"), "folder")
-
-
-def read_attributes(spark: SparkSession, root: str) -> DataFrame:
-    """(path, attributes) of each ``.zattrs`` file; attributes are a JSON text, ``{}`` where the file can't be parsed."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", ".zattrs").text(root)
-    good = F.try_parse_json("value").isNotNull()
-    return files.select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "").alias("path"), F.when(good, F.col("value")).otherwise("{}").alias("attributes"))
