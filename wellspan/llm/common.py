@@ -25,15 +25,26 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/wellspan-{spark.sparkContext.applicationId}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Rows of an Arrow batch where rows carry sets or whole texts, and the setting that says it.
+WIDE_ROWS, BATCH_ROWS = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialize(df: DataFrame, name: str, *, wide: bool = False) -> DataFrame:
     """Write ``df`` as a Parquet table to the shared folder and read it back.
 
     This cuts the lineage, so a lost executor costs a reread, not a recomputation, and it lets the
-    table be used by several branches of a plan at the price of one.
+    table be used by several branches of a plan at the price of one.  With ``wide``, Arrow batches
+    hold WIDE_ROWS rows at most while it is written, which bounds what both sides of the exchange hold.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_ROWS)
+    if wide:
+        spark.conf.set(BATCH_ROWS, str(min(WIDE_ROWS, int(before)) if int(before) > 0 else WIDE_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -216,7 +216,7 @@ def _tree_links(percent: int):
     def task(block, keys, labels, sizes, counts, items) -> list[tuple[int, int]]:
         if len(np.unique(labels)) < 2:
             return []
-        points = np.frombuffer(b"".join(counts), np.uint8).reshape(len(counts), -1)
+        points = _flat(counts).reshape(len(counts), -1)
         sides = [np.flatnonzero(block == x) for x in np.unique(block)]
         trees = [RTree(points[x], sizes[x], labels[x]) for x in sides]
         parent: dict[int, int] = {}
@@ -237,7 +237,7 @@ def _tree_links(percent: int):
                     continue
                 for k in (i, j):
                     if k not in sets:
-                        sets[k] = _unpacked(items[k])
+                        sets[k] = _unpacked(items[k].as_buffer())
                 if len(np.intersect1d(sets[i], sets[j], assume_unique=True)) >= needed(int(sizes[i]), int(sizes[j]), percent):
                     parent[a] = b
                     out.append((int(max(keys[i], keys[j])), int(min(keys[i], keys[j]))))
@@ -251,12 +251,12 @@ def _tree_links(percent: int):
                 continue
             table = pa.Table.from_batches(both).combine_chunks()
             cols = [table.column(i).to_numpy() for i in range(7)]
-            counts, items = table.column(7).to_pylist(), table.column(8).to_pylist()
+            counts, items = (table.column(i).combine_chunks() for i in (7, 8))
             new = np.append(True, (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1]))
             head = np.append(np.flatnonzero(new), len(counts))
             done = len(head) - 1 if batch is None else len(head) - 2
             found = [x for i in range(done) for x in task(*[c[head[i] : head[i + 1]] for c in cols[3:]], counts[head[i] : head[i + 1]], items[head[i] : head[i + 1]])]
-            rest = table.slice(head[done]).combine_chunks().to_batches()[0] if batch is not None else None
+            rest = table.take(pa.array(np.arange(head[done], len(counts)))).combine_chunks().to_batches()[0] if batch is not None else None
             links = np.unique(np.array(found, np.int64).reshape(-1, 2), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(links[:, 0].copy()), pa.array(links[:, 1].copy())], ["a", "b"])
 
@@ -296,7 +296,13 @@ def _verified(percent: int):
     return run
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
+def _flat(values: pa.Array) -> np.ndarray:
+    """The bytes of a binary array without nulls, in its own memory."""
+    ends = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1]
+    return np.frombuffer(values.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+
+
+def _unpacked(raw: bytes | pa.Buffer) -> np.ndarray:
     out = np.zeros((len(raw) // BYTES, 8), np.uint8)
     out[:, :BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, BYTES)
     return out.view(np.uint64).ravel()
@@ -315,7 +321,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     different components goes, with all pairs across components, through the R-tree.
     """
     base = docs.select(id_key(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
-    points = materialize(base.mapInArrow(_points(k, percent), POINT), "jaccard-points")
+    points = materialize(base.mapInArrow(_points(k, percent), POINT), "jaccard-points", wide=True)
     nodes = points.where("n > 0").groupBy("key").agg(F.min("doc").alias("rep"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = points.where("n > 0").select(F.explode("cells").alias("cell"), "key", F.pmod("doc", F.lit(64)).cast("byte").alias("salt"))
@@ -327,8 +333,8 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     stars = materialize(stars, "jaccard-stars")
     members = stars.select(F.col("a").alias("key")).unionByName(stars.select(F.col("b").alias("key"))).distinct()
     wanted = members.join(nodes, "key").select(F.col("rep").alias("doc")).distinct()
-    sets = materialize(base.join(wanted, "doc", "left_semi").mapInArrow(_sets(k, percent), SET), "jaccard-sets")
-    links = materialize(_check(stars, sets, percent), "jaccard-links")
+    sets = materialize(base.join(wanted, "doc", "left_semi").mapInArrow(_sets(k, percent), SET), "jaccard-sets", wide=True)
+    links = materialize(_check(stars, sets, percent), "jaccard-links", wide=True)
     now = materialize(components(links), "jaccard-components")
     cell_keys = materialize(met.select("cell", "key").distinct(), "jaccard-cells")
     # What is still open goes through the tree: in each cell all pairs across components, one cell for each set of nodes.
@@ -346,7 +352,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     rows = rows.withColumn("other", F.explode(F.when(is_main, F.expr("sequence(main_blocks, main_blocks + blocks - 1)")).otherwise(F.expr("sequence(0, main_blocks + blocks - 1)"))))
     tasks = rows.select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "component", F.col("n").cast("long").alias("n"), "counts", "items")
     tasks = tasks.repartition(parts, "cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi")
-    more = materialize(tasks.mapInArrow(_tree_links(percent), PAIR).distinct(), "jaccard-more")
+    more = materialize(tasks.mapInArrow(_tree_links(percent), PAIR).distinct(), "jaccard-more", wide=True)
     final = materialize(components(links.unionByName(more)), "jaccard-components")
     named = nodes.join(final, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "key").alias("component"))
     least = materialize(named.groupBy("component").agg(F.min("rep").alias("least")), "jaccard-least")
