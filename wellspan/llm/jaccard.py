@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -205,20 +206,70 @@ class RTree:
 PAIR = "a long, b long"
 
 
+def _task_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Table]]:
+    """Rows of one task (cell, lo, hi) after another, from rows sorted so.
+
+    A task has 2 * BLOCK rows at most, so an unfinished one is kept until the next batch.
+    """
+    rest = None
+    for batch in _with_end(batches):
+        both = [x for x in (rest, batch) if x is not None]
+        if not both:
+            continue
+        table = pa.Table.from_batches(both).combine_chunks()
+        cell, lo, hi = (table.column(c).to_numpy() for c in ("cell", "lo", "hi"))
+        new = np.append(True, (cell[1:] != cell[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))
+        head = np.append(np.flatnonzero(new), len(cell))
+        done = len(head) - 1 if batch is None else len(head) - 2
+        rest = table.take(pa.array(np.arange(head[done], len(cell)))).combine_chunks().to_batches()[0] if batch is not None else None
+        yield [table.slice(head[i], head[i + 1] - head[i]) for i in range(done)]
+
+
+def _near_pairs(task: pa.Table, points: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the task's pairs across components that its trees leave."""
+    block, labels, sizes = (task.column(c).to_numpy() for c in ("block", "component", "n"))
+    sides = [np.flatnonzero(block == x) for x in np.unique(block)]
+    trees = [RTree(points[x], sizes[x], labels[x]) for x in sides]
+    for x, y in trees[0].pairs(trees[-1], percent):
+        yield sides[0][x], sides[-1][y]
+
+
+def _points_of(task: pa.Table) -> np.ndarray:
+    return _flat(task.column("counts").combine_chunks()).reshape(task.num_rows, -1)
+
+
+SURVIVOR = "cell long, lo int, hi int, key long, component long"
+
+
+def _survivors(percent: int):
+    """The rows of each task that are in a pair which its trees leave; needs no sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tasks in _task_lists(batches):
+            out = []
+            for task in tasks:
+                if pa.compute.count_distinct(task.column("component")).as_py() > 1:
+                    left = np.zeros(task.num_rows, bool)
+                    for x, y in _near_pairs(task, _points_of(task), percent):
+                        left[x] = left[y] = True
+                    if left.any():
+                        out.append(task.select(["cell", "lo", "hi", "key", "component"]).filter(pa.array(left)))
+            if out:
+                yield from pa.concat_tables(out).combine_chunks().to_batches()
+
+    return run
+
+
 def _tree_links(percent: int):
-    """Links from rows sorted by task (cell, lo, hi).
+    """Links from rows sorted by task.
 
     Pairs that the trees leave are verified here, best bound first, and pairs that links found so far connect
-    are skipped: what comes out of a task is a forest over its rows.  A task has 2 * BLOCK rows at most,
-    so an unfinished one is kept until the next batch.
+    are skipped: what comes out of a task is a forest over its rows.
     """
 
-    def task(block, keys, labels, sizes, counts, items) -> list[tuple[int, int]]:
-        if len(np.unique(labels)) < 2:
-            return []
-        points = _flat(counts).reshape(len(counts), -1)
-        sides = [np.flatnonzero(block == x) for x in np.unique(block)]
-        trees = [RTree(points[x], sizes[x], labels[x]) for x in sides]
+    def links(task: pa.Table) -> list[tuple[int, int]]:
+        keys, labels, sizes = (task.column(c).to_numpy() for c in ("key", "component", "n"))
+        items, points = task.column("items").combine_chunks(), _points_of(task)
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -228,8 +279,7 @@ def _tree_links(percent: int):
 
         sets: dict[int, np.ndarray] = {}
         out = []
-        for x, y in trees[0].pairs(trees[-1], percent):
-            x, y = sides[0][x], sides[-1][y]
+        for x, y in _near_pairs(task, points, percent):
             order = np.argsort(-overlap_bound(points[x], points[y]), kind="stable")
             for i, j in zip(x[order].tolist(), y[order].tolist(), strict=True):
                 a, b = root(int(labels[i])), root(int(labels[j]))
@@ -244,21 +294,9 @@ def _tree_links(percent: int):
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in _with_end(batches):
-            both = [x for x in (rest, batch) if x is not None]
-            if not both:
-                continue
-            table = pa.Table.from_batches(both).combine_chunks()
-            cols = [table.column(i).to_numpy() for i in range(7)]
-            counts, items = (table.column(i).combine_chunks() for i in (7, 8))
-            new = np.append(True, (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1]))
-            head = np.append(np.flatnonzero(new), len(counts))
-            done = len(head) - 1 if batch is None else len(head) - 2
-            found = [x for i in range(done) for x in task(*[c[head[i] : head[i + 1]] for c in cols[3:]], counts[head[i] : head[i + 1]], items[head[i] : head[i + 1]])]
-            rest = table.take(pa.array(np.arange(head[done], len(counts)))).combine_chunks().to_batches()[0] if batch is not None else None
-            links = np.unique(np.array(found, np.int64).reshape(-1, 2), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(links[:, 0].copy()), pa.array(links[:, 1].copy())], ["a", "b"])
+        for tasks in _task_lists(batches):
+            found = np.unique(np.array([x for task in tasks for x in links(task)], np.int64).reshape(-1, 2), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
 
     return run
 
@@ -339,20 +377,25 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     cell_keys = materialize(met.select("cell", "key").distinct(), "jaccard-cells")
     # What is still open goes through the tree: in each cell all pairs across components, one cell for each set of nodes.
     placed, largest = _placed(cell_keys, now)
-    state = placed.groupBy("cell").agg(F.count("*").alias("size"), F.sum(F.pmod(F.xxhash64("key"), F.lit(2**40))).alias("sum"), F.expr("bit_xor(xxhash64(key, 7))").alias("xor"))
+    state = placed.groupBy("cell").agg(*_signature())
     inside = placed.join(largest, ["cell", "component"]).groupBy("cell").agg(F.count("*").alias("inside"))
     state = state.join(inside, "cell").join(largest.withColumnRenamed("component", "main"), "cell").where("inside < size AND size > 2")
     open_ = state.groupBy("size", "sum", "xor").agg(F.min(F.struct("cell", "inside", "main")).alias("s")).select(F.col("s.cell").alias("cell"), F.col("s.main").alias("main"), F.ceil(F.col("s.inside") / F.lit(BLOCK)).cast("int").alias("main_blocks"), F.ceil((F.col("size") - F.col("s.inside")) / F.lit(BLOCK)).cast("int").alias("blocks"))
     open_ = materialize(open_, "jaccard-open")
-    vectors = sets.select("key", "n", "items", F.explode(F.arrays_zip("bands", "counts")).alias("v")).select("key", "n", "items", F.col("v.bands").alias("band"), F.col("v.counts").alias("counts"))
-    rows = placed.join(open_, "cell").withColumn("band", F.col("cell").bitwiseAND(F.lit(BAND_MASK)).cast("int")).join(vectors, ["key", "band"])
+    # First the counts alone; the sets then go only to rows that are in a pair which the trees leave.
+    rows = placed.join(open_, "cell").withColumn("band", _band()).join(_vectors(sets), ["key", "band"])
     # Blocks of the largest component meet the blocks of the others, never each other.
     is_main = F.col("component") == F.col("main")
     rows = rows.withColumn("block", F.when(is_main, F.pmod(F.xxhash64("key"), "main_blocks")).otherwise(F.col("main_blocks") + F.pmod(F.xxhash64("key"), "blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.when(is_main, F.expr("sequence(main_blocks, main_blocks + blocks - 1)")).otherwise(F.expr("sequence(0, main_blocks + blocks - 1)"))))
-    tasks = rows.select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "component", F.col("n").cast("long").alias("n"), "counts", "items")
-    tasks = tasks.repartition(parts, "cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi")
-    more = materialize(tasks.mapInArrow(_tree_links(percent), PAIR).distinct(), "jaccard-more", wide=True)
+    tasks = rows.select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "component", F.col("n").cast("long").alias("n"), "counts")
+    near = materialize(_dealt(tasks, parts).mapInArrow(_survivors(percent), SURVIVOR), "jaccard-survivors", wide=True)
+    # One task for each set of rows left.
+    state = near.groupBy("cell", "lo", "hi").agg(*_signature())
+    once = state.groupBy("size", "sum", "xor").agg(F.min(F.struct("cell", "lo", "hi")).alias("s")).select("s.cell", "s.lo", "s.hi")
+    rows = near.join(once, ["cell", "lo", "hi"]).withColumn("band", _band()).join(_vectors(sets, "items"), ["key", "band"])
+    tasks = rows.select("cell", "lo", "hi", F.lit(0).alias("block"), "key", "component", F.col("n").cast("long").alias("n"), "counts", "items")
+    more = materialize(_dealt(tasks, parts).mapInArrow(_tree_links(percent), PAIR).distinct(), "jaccard-more", wide=True)
     final = materialize(components(links.unionByName(more)), "jaccard-components")
     named = nodes.join(final, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "key").alias("component"))
     least = materialize(named.groupBy("component").agg(F.min("rep").alias("least")), "jaccard-least")
@@ -361,6 +404,25 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     return out.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.nullif(F.coalesce(F.when(F.col("n") > 0, F.col("least")), F.col("doc")), F.lit(NULL_ID)).alias("component_id"), F.col("key").alias("set_key"))
 
 
+def _band():
+    return F.col("cell").bitwiseAND(F.lit(BAND_MASK)).cast("int")
+
+
+def _signature() -> list:
+    """Aggregates that tell sets of keys apart."""
+    return [F.count("*").alias("size"), F.sum(F.pmod(F.xxhash64("key"), F.lit(2**40))).alias("sum"), F.expr("bit_xor(xxhash64(key, 7))").alias("xor")]
+
+
+def _vectors(sets: DataFrame, *more: str) -> DataFrame:
+    """(key, n, band, counts) with a row for each band of a set."""
+    each = sets.select("key", "n", *more, F.explode(F.arrays_zip("bands", "counts")).alias("v"))
+    return each.select("key", "n", *more, F.col("v.bands").alias("band"), F.col("v.counts").alias("counts"))
+
+
+def _dealt(tasks: DataFrame, parts: int) -> DataFrame:
+    return tasks.repartition(parts, "cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi")
+
+
 def _placed(cells_: DataFrame, now: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cell, key, component) with more than one component in the cell, and (cell, component) of its largest one."""
     placed = materialize(cells_.join(now, F.col("key") == F.col("node"), "left").select("cell", "key", F.coalesce("component", "key").alias("component")), "jaccard-placed")
