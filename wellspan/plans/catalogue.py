@@ -301,9 +301,11 @@ def distinct_pairs(spark, sf_dir):
 
 @query(f"""WITH {REC} SELECT event_id, CAST(row_number() OVER (ORDER BY "row", "column", action, field_index, coalesce(partial_tile_index, 0), acquisition, event_id) AS INT) AS pos FROM rec ORDER BY pos LIMIT 500""")
 def catalog_sort(spark, sf_dir):
-    order = ["row", "column", "action", "field_index", F.coalesce("partial_tile_index", F.lit(0)), "acquisition", "event_id"]
-    top = rec(spark, sf_dir).orderBy(*order).limit(500)  # the explorer's first page
-    return top.withColumn("pos", F.row_number().over(Window.orderBy(*order))).select("event_id", "pos")
+    from ..llm.sharding import numbered  # the operators for training data are optional, so they are loaded where they are needed
+
+    order = ["row", "column", "action", "field_index", "tile", "acquisition", "event_id"]
+    rows, _ = numbered(rec(spark, sf_dir).withColumn("tile", F.coalesce("partial_tile_index", F.lit(0))).select(*order), order)
+    return rows.select("event_id", (F.col("row_number") + 1).cast("int").alias("pos"))
 
 
 @query(f"""WITH {REC} SELECT count(*) AS datasets, count(DISTINCT ("row", "column")) AS wells, count(DISTINCT action) AS actions FROM rec""")
