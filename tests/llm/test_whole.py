@@ -1,0 +1,60 @@
+"""Whole results where a part was given before."""
+
+import random
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from wellspan.llm import urlrules
+
+
+def test_deep_paths_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(urlrules, "TABLES", 2)
+    word = lambda i: chr(97 + i // 26) + chr(97 + i % 26)
+    rows = [(f"http://h.org/a/b/c/d/{kind}/{word(i % 30)}/{word(i)}", bad) for kind, bad in (("spam", 1), ("docs", 0)) for i in range(120)]
+    rows += [(f"http://h.org/a/b/c/d/e/f/g/h/i/j/{kind}/{i}", bad) for kind, bad in (("x", 1), ("y", 0)) for i in range(60)]
+    rows += [("http://h.org/a/b/c/d", 0), ("http://h.org/a", 0), ("http://h.org/", None), ("http://one.org/" + "s/" * 400, None)]
+    pages = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
+    got = {r["page_id"]: r for r in urlrules.judged(pages, F.col("bad"), ()).collect()}
+    assert sorted(got) == list(range(len(rows)))
+    assert all(got[i]["verdict"] == ("block" if bad else "allow") for i, (_, bad) in enumerate(rows) if bad is not None)
+    assert got[len(rows) - 1]["template"] == "/+" * 400
+
+
+def brute(rows):
+    """Templates of (host, shape, pages, labelled, bad), node by node."""
+    out, nodes = {}, defaultdict(list)
+    for r in rows:
+        nodes[r[0], ""].append(r)
+    for depth in range(9):
+        below = defaultdict(list)
+        for (host, template), members in nodes.items():
+            children = defaultdict(list)
+            for r in members:
+                children[r[1][depth] if depth < len(r[1]) else ""].append(r)
+            pages, labelled, bad = (sum(r[k] for r in members) for k in (2, 3, 4))
+            rate = bad / labelled if labelled else 0.0
+            for child, its in children.items():
+                p, n, b = (sum(r[k] for r in its) for k in (2, 3, 4))
+                rare = len(children) > urlrules.CHILDREN and p * urlrules.CHILDREN < pages
+                near = abs(b - n * rate) <= urlrules.SIGMAS * (n * rate * (1 - rate) + 0.25) ** 0.5
+                step = "" if not child else "/*" if rare else "/+" if near else f"/{child}"
+                if not child:
+                    out |= {(host, tuple(r[1])): template for r in its}
+                else:
+                    below[host, template + step] += its
+        nodes = below
+    return out
+
+
+def test_templates_against_brute_force(spark):
+    rnd = random.Random(2)
+    shapes = {(rnd.choice("gh"), tuple(rnd.choice("abc" if rnd.random() < 0.7 else "defghijklmnopqrstuvwxyz") for _ in range(rnd.randint(0, 7)))) for _ in range(400)}
+    rows = []
+    for host, shape in sorted(shapes):
+        n = rnd.randint(0, 9)
+        rows.append((host, list(shape), n + rnd.randint(1, 9), n, round(n * (0.9 if shape[4:5] == ("a",) or shape[1:2] == ("b",) else 0.1))))
+    df = spark.createDataFrame(rows, "host string, shape array<string>, pages long, labelled long, bad long")
+    want = brute(rows)
+    assert len(want) == len(rows) and any(c.isalpha() for t in want.values() for c in t[8:])
+    assert {(r["host"], tuple(r["shape"])): r["template"] for r in urlrules.template_tree(df).collect()} == want

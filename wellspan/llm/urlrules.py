@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from .common import materialize
 #: The fixed rules of the query: (verdict, host/path).
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 
-#: Levels of a path that the tree tells apart; what lies deeper is one leaf.
-DEPTH = 4
+#: Finished branches of the tree are written together when there are this many tables of them.
+TABLES = 16
 #: A node with more children than this has a variable segment: children below 1/CHILDREN of its pages become ``*``.
 CHILDREN = 16
 #: Branches whose labelled rates differ by fewer standard errors than this are merged.
@@ -48,8 +49,8 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
 
 
 def shape(path: Column) -> Column:
-    """Segments of a path down to DEPTH, digits generalised: /en/12.html gives [en, #.html]."""
-    parts = F.slice(F.filter(F.split(path, "/"), lambda x: x != ""), 1, DEPTH)
+    """All segments of a path, digits generalised: /en/12.html gives [en, #.html]."""
+    parts = F.filter(F.split(path, "/"), lambda x: x != "")
     return F.transform(parts, lambda x: F.regexp_replace(x, "[0-9]+", "#"))
 
 
@@ -59,22 +60,30 @@ def template_tree(shapes: DataFrame) -> DataFrame:
     Level by level: the children of each node (host, template so far) are counted; in a node with many
     children the rare ones become ``*``; children whose labelled rate is no further from the node's than
     SIGMAS standard errors are merged into ``+``, the others stay branches of their own.
-    All levels work on shapes, of which there are far fewer than pages, by grouped sums.
+    Levels go on until no shape has a further segment; each is written, so the plan stays one level large.
+    A shape alone in its node has no sibling to differ from: what follows is merged at once.
+    All levels work on shapes, of which there are fewer than pages, by grouped sums.
     """
-    level = shapes.withColumn("template", F.lit(""))
-    for depth in range(DEPTH):
+    level, ended, depth = materialize(shapes.withColumn("template", F.lit("")), "url-level"), [], 0
+    columns = level.columns
+    while not level.where(F.size("shape") > depth).isEmpty():
         level = level.withColumn("child", F.coalesce(F.get("shape", F.lit(depth)), F.lit("")))
-        child = level.groupBy("host", "template", "child").agg(*[F.sum(c).alias(c) for c in ("pages", "labelled", "bad")])
-        node = child.groupBy("host", "template").agg(F.count("*").alias("n_children"), *[F.sum(c).alias(f"node_{c}") for c in ("pages", "labelled", "bad")])
+        child = level.groupBy("host", "template", "child").agg(F.count("*").alias("shapes"), *[F.sum(c).alias(c) for c in ("pages", "labelled", "bad")])
+        node = child.groupBy("host", "template").agg(F.count("*").alias("n_children"), *[F.sum(c).alias(f"node_{c}") for c in ("shapes", "pages", "labelled", "bad")])
         both = child.join(node, ["host", "template"])
         rate = F.when(F.col("node_labelled") > 0, F.col("node_bad") / F.col("node_labelled")).otherwise(0.0)
         spread = F.sqrt(F.col("labelled") * rate * (1 - rate) + F.lit(0.25))
         near = F.abs(F.col("bad") - F.col("labelled") * rate) <= F.lit(SIGMAS) * spread
         rare = (F.col("n_children") > CHILDREN) & (F.col("pages") * CHILDREN < F.col("node_pages"))
         step = F.when(F.col("child") == "", "").when(rare, "/*").when(near, "/+").otherwise(F.concat(F.lit("/"), "child"))
-        level = level.join(both.select("host", "template", "child", step.alias("step")), ["host", "template", "child"])
-        level = level.withColumn("template", F.concat("template", "step")).drop("child", "step")
-    return level.select("host", "shape", "pages", "labelled", "bad", "template")
+        level = level.join(both.select("host", "template", "child", step.alias("step"), (F.col("node_shapes") == 1).alias("alone")), ["host", "template", "child"])
+        step = F.when(F.col("alone"), F.repeat(F.lit("/+"), F.size("shape") - depth)).otherwise(F.col("step"))
+        level = materialize(level.withColumn("template", F.concat("template", step)).select(*columns, (F.col("alone") | (F.size("shape") <= depth)).alias("ended")), "url-level")
+        ended.append(level.where("ended").select(*columns))
+        if len(ended) == TABLES:
+            ended = [materialize(reduce(DataFrame.union, ended), "url-ended")]
+        level, depth = level.where("NOT ended").select(*columns), depth + 1
+    return reduce(DataFrame.union, ended, level).select("host", "shape", "pages", "labelled", "bad", "template")
 
 
 def judged_templates(shapes: DataFrame, reject_at: float = 0.5, prior_weight: float = 4.0) -> DataFrame:
