@@ -1,11 +1,13 @@
 """Whole results where a part was given before."""
 
 import random
+import time
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
-from wellspan.llm import urlrules
+from wellspan.llm import toxicity, urlrules
 
 
 def test_deep_paths_are_told_apart(spark, monkeypatch):
@@ -58,3 +60,39 @@ def test_templates_against_brute_force(spark):
     want = brute(rows)
     assert len(want) == len(rows) and any(c.isalpha() for t in want.values() for c in t[8:])
     assert {(r["host"], tuple(r["shape"])): r["template"] for r in urlrules.template_tree(df).collect()} == want
+
+
+LONG = "plain words go on " * 60
+
+
+@pytest.mark.parametrize(
+    "text,weight",
+    [
+        (f'"{LONG} you idiot {LONG}" he read', 0.4),
+        (f"“{LONG} you idiot {LONG}” he read", 0.4),
+        (f"„{LONG} you idiot {LONG}“ he read", 0.4),
+        (f"«{LONG} you idiot {LONG}» he read", 0.4),
+        ('"' + "x" * 500 + '" you idiot "b"', 1.0),
+        (f'"{LONG}" you idiot "{LONG}"', 1.0),
+        (f'"{LONG}" and "{LONG} you idiot"', 0.4),
+        ('a 5" pipe, you idiot, and a 6" pipe', 1.0),
+        ('"never closed. you idiot "b"', 1.0),
+        ('“never closed. you idiot “b”', 1.0),
+        ('"one paragraph\n\n"you idiot" he read', 0.4),
+        ('"you\n\nidiot" he read', 0.4),
+        ('"one idiot\n\n"two" he read', 0.4),
+        ('""idiot"" here', 0.4),
+        ('" idiot " here', 0.4),
+        ('"you idiot!"Next', 0.4),
+        ('«a “b” idiot» c', 0.4),
+        ('"idiot" here, idiot', 1.0),
+    ],
+)
+def test_quotations_of_any_length(text, weight):
+    assert toxicity.Model(exact={"idiot$": 0.9}).found(text) == {("idiot$", 0): weight}
+
+
+def test_quotations_in_one_pass():
+    text = '"idiot" “idiot “ „idiot “« ' * 40_000
+    begin = time.monotonic()
+    assert toxicity.Model(exact={"idiot$": 0.9}).found(text) and time.monotonic() - begin < 20

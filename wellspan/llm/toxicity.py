@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -32,7 +33,53 @@ WORD = re.compile(r"\w+")
 NOT_WORD = np.array([i < 128 and not (chr(i).isalnum() or i == 95) for i in range(256)])
 #: Words whose matches a task remembers.
 CACHE = 600_000
-QUOTES = re.compile(r"\"[^\"]{1,400}\"|“[^”]{1,400}”|«[^»]{1,400}»|„[^“]{1,400}“")
+#: Quotation marks, and what may stand between a mark and the start of its paragraph.
+MARKS, BREAK = re.compile('"+|[“”«»„]'), re.compile(r"\n[^\S\n]*\n\s*")
+#: Opening mark of each closing one; ``“`` closes ``„`` where one is open, and opens otherwise.
+OPENING = {"”": "“", "»": "«"}
+
+
+def quotations(text: str) -> list[tuple[int, int]]:
+    """(first mark, last mark) of the quotations of a text, outermost only, in order; one pass, any length.
+
+    Marks of each kind are paired by themselves, inner pairs first; straight marks side by side are one.
+    A straight mark closes what is open unless it stands before a word and after white space: then the
+    open one has no partner.  With none open it opens, unless it ends a word (``5" wide``).  A mark that
+    opens at the start of a paragraph while its kind is open goes on with that quotation.  A mark without
+    a partner quotes nothing.
+    """
+    open_at: dict[str, list[int]] = {'"': [], "“": [], "«": [], "„": []}
+    pairs = []
+    starts = {0} | {m.end() for m in BREAK.finditer(text)}
+    for m in MARKS.finditer(text):
+        mark, at = m.group()[0], m.start()
+        before, after = text[at - 1 : at] if at else "", text[m.end() : m.end() + 1]
+        kind, closes = OPENING.get(mark, mark), mark in OPENING
+        if mark == '"':
+            begins = after.strip() and not before.strip()
+            ends = before.strip() and not _letter(after) and (not after.strip() or _letter(before))
+            closes = bool(not begins if open_at[kind] else ends)
+        elif mark == "“" and open_at["„"]:
+            kind, closes = "„", True
+        waiting = open_at[kind]
+        if closes:
+            if waiting:
+                pairs.append((waiting.pop(), at))
+        elif not (waiting and at in starts):
+            if mark == '"':
+                waiting.clear()
+            waiting.append(at)
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(pairs):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _letter(character: str) -> bool:
+    return character.isalnum() or character == "_"
 
 
 class Trie:
@@ -144,13 +191,15 @@ class Model:
         hit = {w: h for w in set(WORD.findall(low)) if (h := self.hits(w))}
         if not hit:
             return {}
-        quoted = [m.span() for m in QUOTES.finditer(low)]
+        quoted = quotations(low)
+        openings = [a for a, _ in quoted]
         tokens = [(m.group(), m.start()) for m in WORD.finditer(low)]
         out: dict[tuple[str, int], float] = {}
         for i, (word, at) in enumerate(tokens):
             if word in hit:
                 near = {w for w, _ in tokens[max(0, i - CONTEXT) : i + CONTEXT + 1]}
-                inside = any(a < at < b for a, b in quoted)
+                k = bisect_left(openings, at)
+                inside = k > 0 and at < quoted[k - 1][1]
                 weight = QUOTED if inside or near & REPORTING else 1.0
                 for key in hit[word]:
                     out[key] = max(out.get(key, 0.0), weight)
