@@ -261,8 +261,13 @@ def acq_lookup(spark, sf_dir):
 
 @query("SELECT c_custkey, n_name, coalesce(n_name, 'none') AS channel FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 12) ON c_nationkey = n_nationkey")
 def channel_left(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation").where("n_nationkey < 12")
-    return table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select("c_custkey", "n_name", F.coalesce("n_name", F.lit("none")).alias("channel"))
+    return with_nation(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+
+
+def with_nation(customer, nation):
+    """Customers with their nation's name, 'none' as the channel of those without one."""
+    joined = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return joined.select("c_custkey", "n_name", F.coalesce("n_name", F.lit("none")).alias("channel"))
 
 
 @query("SELECT c_custkey, c_name FROM customer ANTI JOIN (SELECT * FROM orders WHERE o_totalprice > 300000) ON o_custkey = c_custkey")
