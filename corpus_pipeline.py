@@ -39,7 +39,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", reject_toxic), ("near_duplicates", drop_near_duplicates), ("decontamination", drop_contaminated), ("mixing", mix_sources), ("sharding", shard)]
 
-#: Toxicity scores and the permutation aren't SQL; tests hold each stage against a brute-force version.
+#: Toxicity scores and the permutation aren't SQL; no test holds the chain against brute force.
 ORACLE_SQL = None
 
 
