@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,49 +14,85 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Stands for a null id wherever ids are ordered: a null comes last.
 NULL_ID = 2**63 - 1
-#: Scratch folder of an application whose session names none.
+#: Scratch folder of a local application whose session names none.
 _LOCAL: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, a local one in a local session, else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:  # the setting can't be changed in a running session
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="wellspan-")
         _LOCAL[spark.sparkContext.applicationId] = root
     return f"{root.rstrip('/')}/wellspan-{spark.sparkContext.applicationId}"
 
 
-#: Rows of an Arrow batch where rows carry sets or whole texts, and the setting that says it.
-WIDE_ROWS, BATCH_ROWS = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch where rows carry whole texts.
+WIDE_ROWS = 2000
 
 
-def materialize(df: DataFrame, name: str, *, wide: bool = False) -> DataFrame:
+def by_few_rows(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` for rows that carry whole texts: ``run`` gets slices of WIDE_ROWS rows at most."""
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(b.slice(i, WIDE_ROWS) for b in batches for i in range(0, b.num_rows, WIDE_ROWS))
+
+    return df.mapInArrow(sliced, schema)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table to the shared folder and read it back.
 
     This cuts the lineage, so a lost executor costs a reread, not a recomputation, and it lets the
-    table be used by several branches of a plan at the price of one.  With ``wide``, Arrow batches
-    hold WIDE_ROWS rows at most while it is written, which bounds what both sides of the exchange hold.
+    table be used by several branches of a plan at the price of one.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(BATCH_ROWS)
-    if wide:
-        spark.conf.set(BATCH_ROWS, str(min(WIDE_ROWS, int(before)) if int(before) > 0 else WIDE_ROWS))
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(BATCH_ROWS, before)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables written by ``materialize`` that no plan reads any more, and let Spark drop their shuffles."""
+    jvm = tables[0].sparkSession.sparkContext._jvm
+    conf = tables[0].sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for table in tables:
+        path = jvm.org.apache.hadoop.fs.Path(table._scratch_path)
+        path.getFileSystem(conf).delete(path, True)
+    jvm.System.gc()
 
 
 def text_or_empty(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("string")
 
 
-def id_key(column: str) -> Column:
-    """A long that orders ids with nulls last."""
-    return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
+class Ids:
+    """Ids of a column as values that order with nulls last: ``encode`` gives them, ``decode`` the ids back.
+
+    Integers become longs (2**63 - 1 stands for null), all other types strings in string order.
+    """
+
+    def __init__(self, df: DataFrame, column: str):
+        kind = df.select(F.col(f"`{column}`")).dtypes[0][1]
+        self.column, self.given = column, kind
+        self.type = "long" if kind in ("tinyint", "smallint", "int", "bigint") else "string"
+
+    def encode(self) -> Column:
+        value = F.col(f"`{self.column}`")
+        if self.type == "long":
+            return F.coalesce(value.cast("long"), F.lit(NULL_ID))
+        return F.when(value.isNull(), "1").otherwise(F.concat(F.lit("0"), value.cast("string")))
+
+    def decode(self, value: str | Column) -> Column:
+        value = F.col(value) if isinstance(value, str) else value
+        if self.type == "long":
+            return F.nullif(value, F.lit(NULL_ID)).cast(self.given)
+        return F.when(F.startswith(value, F.lit("0")), F.substr(value, F.lit(2))).cast(self.given)
 
 
 def bound(value: Column, use) -> Column:

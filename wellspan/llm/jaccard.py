@@ -4,7 +4,10 @@ A document's shingles are hashed into m groups; the group counts are its point.
 in D shingles at most differ in D groups at most, so with more than D groups they hold the same
 shingles in at least one: that group's content is the cell in which the pair meets.  Points that meet
 are kept in a packed R-tree, where the sum of coordinate minima (of boxes, then of points) bounds the overlap from
-above; the pairs that survive are verified on the sets.  No threshold on group or cell sizes exists.
+above; the pairs that survive are verified on the words.  No threshold on group or cell sizes exists.
+
+Cells travel packed: a task sorts the cells of some megabytes of text and sends each part of the cell space one
+blob, with one member of each cell; what else the task holds of a cell it knows to be met without asking.
 """
 
 from __future__ import annotations
@@ -18,18 +21,23 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, id_key, materialize, text_or_empty
+from .common import Ids, by_few_rows, discard, materialize, text_or_empty
 from .components import components
-from .textcols import LOWER, MIX, SEQ, U, WHITE, chunks, mix, prefix, ranges, tokenize
+from .textcols import MIX, SEQ, U, WHITE, chunks, mix, prefix, ranges, tokenize
 
 #: Ratio of the sizes at the ends of a band; sets in one band have the same number of groups.
 BAND = 1.4
 #: Points in a leaf of the R-tree, and rows of a cell that one task compares with as many others.
 LEAF, BLOCK = 32, 512
-#: Bytes of a shingle's hash that verification compares.
-BYTES = 5
-#: The low bits of a cell are its band.
-BAND_MASK = 127
+#: Surviving pairs a row up to which a task's pairs are verified one by one, beyond it together in the task.
+SPARSE = 16
+#: Groups of a point where the cells of its band need fewer (4 times the largest size if that is less).
+FINE = 256
+#: Bytes of text, and rows, whose cells are packed together.
+GATHER_BYTES, GATHER_ROWS = 8 << 20, 60_000
+#: A cell is its part, LOW_BITS of a hash, and its band in the lowest BAND_BITS.
+LOW_BITS, BAND_BITS = 40, 7
+MOST_PARTS = 1 << 16
 
 
 def needed(a, b, percent: int):
@@ -41,6 +49,8 @@ class Bands:
     """Bands of set sizes and the groups of each."""
 
     def __init__(self, percent: int):
+        if not 50 < percent <= 100:
+            raise ValueError("percent must be above 50 and 100 at most")  # below, similar sets may share no group
         self.percent = percent
         ratio = max(BAND, 100 / percent + 0.01)
         edges = [1]
@@ -53,30 +63,107 @@ class Bands:
         k = int(np.searchsorted(self.edges, n, side="right")) - 1
         return [k] if 100 * n < self.percent * int(self.edges[k + 1]) else [k, k + 1]
 
-    def groups(self, k: int) -> tuple[int, int]:
-        """(groups, empty groups a set may leave out) of band k."""
+    def differ(self, k: int, n):
+        """Most shingles in which a set of size n differs from a similar one of band k."""
+        return (n + np.minimum(100 * n // self.percent, self.edges[k + 1] - 1)) * (100 - self.percent) // (100 + self.percent)
+
+    def groups(self, k: int) -> int:
+        """Groups of band k: few, but so many that most sets of its largest size fill more groups than can differ."""
         most = int(self.edges[k + 1]) - 1
-        least = max(1, (int(self.edges[k]) * self.percent + 99) // 100)
-        differ = 2 * most * (100 - self.percent) // (100 + self.percent)
-        spare = 0 if not differ else 2 + math.ceil(2 * differ * math.exp(-least / (differ + 1)))
-        return differ + 1 + spare, spare
-
-
-def cells(shingles: np.ndarray, bands: Bands) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Cells of a set in each of its bands, and its group counts there."""
-    out, counts = [], []
-    for k in bands.of(len(shingles)):
-        m, spare = bands.groups(k)
-        group = (mix(shingles + U(k * MIX % 2**64)) % U(m)).astype(np.int64)
-        content = np.zeros(m, np.uint64)
-        np.add.at(content, group, mix(shingles ^ U(SEQ)))
-        count = np.bincount(group, minlength=m)
-        cell = mix(mix(content + U(MIX) * np.arange(m, dtype=np.uint64)) + U((k + 1) * SEQ % 2**64))
-        cell = (cell & ~U(BAND_MASK)) | U(k)
-        empty = count == 0
-        out.append(cell[~empty] if empty.sum() <= spare else cell)
-        counts.append(np.minimum(count, 255).astype(np.uint8))
-    return out, counts
+        least = int(self.differ(k, most)) + 1
+        m = least
+        while True:
+            empty = math.exp(-most / m)
+            if m * (1 - (1 - 1 / m) ** most) >= min(least + 2 * math.sqrt(m * empty * max(0.0, 1 - (1 + most / m) * empty)), most - 0.3):
+                return m
+            m += max(1, m // 64)
+
+
+class Cells:
+    """Cells and count vectors of many sets at once, band by band.
+
+    ``cell``, ``owner``: the cells, and the set of each.  ``vectors``: (set, band, counts) rows.
+
+    A set that fills more groups than can differ (a good one) has a group in common with any similar set of the band
+    that is not empty.  One that fills fewer also sends the cells of a further hashing, and so on until it is good in
+    one.  Of two sets the one that is good first shares that hashing with the other: no pair is lost, and no cell stands
+    for emptiness.
+    """
+
+    def __init__(self, sets: list[np.ndarray], bands: Bands):
+        by_band: dict[int, list[int]] = {}
+        for i, s in enumerate(sets):
+            for k in bands.of(len(s)) if len(s) else []:
+                by_band.setdefault(k, []).append(i)
+        cell, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        self.vectors: list[tuple[int, int, bytes]] = []
+        for k, members in sorted(by_band.items()):
+            m = bands.groups(k)
+            self._add_vectors(sets, members, k, max(m, min(FINE, 4 * (int(bands.edges[k + 1]) - 1))))
+            left, seed = np.array(members), 0
+            while len(left):
+                shingles = np.concatenate([sets[i] for i in left.tolist()])
+                sizes = np.array([len(sets[i]) for i in left.tolist()])
+                group = (mix(shingles + U((k + 1 + seed * 131) * MIX % 2**64)) % U(m)).astype(np.int64) + np.repeat(np.arange(len(left)) * m, sizes)
+                counts = np.bincount(group, minlength=m * len(left))
+                content = np.zeros(m * len(left), np.uint64)
+                order = np.argsort(group, kind="stable")
+                some = np.flatnonzero(counts)
+                content[some] = np.add.reduceat(mix(shingles ^ U(SEQ))[order], np.append(0, np.cumsum(counts[some])[:-1]))
+                place = mix(mix(content[some] + U(MIX) * (some % m).astype(np.uint64)) + U((k + 1 + 131 * seed) * SEQ % 2**64))
+                cell.append((place & ~U((1 << BAND_BITS) - 1)) | U(k))
+                owner.append(left[some // m])
+                left, seed = left[(counts > 0).reshape(-1, m).sum(axis=1) <= bands.differ(k, sizes)], seed + 1
+        self.cell, self.owner = np.concatenate(cell), np.concatenate(owner)
+
+    def _add_vectors(self, sets: list[np.ndarray], members: list[int], k: int, groups: int) -> None:
+        """Points of a band: small sets have as many groups as keep their shingles apart, which sharpens the bound."""
+        step = max(1, (8 << 20) // groups)
+        for at in range(0, len(members), step):
+            some = members[at : at + step]
+            shingles = np.concatenate([sets[i] for i in some])
+            group = (mix(shingles ^ U((k + 1) * MIX % 2**64)) % U(groups)).astype(np.int64) + np.repeat(np.arange(len(some)) * groups, [len(sets[i]) for i in some])
+            counts = np.minimum(np.bincount(group, minlength=groups * len(some)), 255).astype(np.uint8).reshape(-1, groups)
+            self.vectors += [(i, k, c.tobytes()) for i, c in zip(some, counts, strict=True)]
+
+
+def named_cells(cell: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(part, cell within 2**63) of 64-bit cells whose lowest bits are the band."""
+    band = cell & U((1 << BAND_BITS) - 1)
+    part = (cell >> U(64 - 16)) % U(parts)
+    low = (cell >> U(BAND_BITS)) & U((1 << LOW_BITS) - 1)
+    return part.astype(np.int64), (part << U(LOW_BITS + BAND_BITS) | low << U(BAND_BITS) | band).view(np.int64)
+
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of each number, first bytes first: the high bytes of sorted numbers compress well."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width][:, ::-1].T).tobytes()
+
+
+def _from_planes(raw: np.ndarray, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = raw.reshape(width, n)[::-1].T
+    return out.view("<u8").ravel()
+
+
+CELL_BYTES = (LOW_BITS + BAND_BITS + 7) // 8
+
+
+def pack(cell: np.ndarray, key: np.ndarray) -> bytes:
+    """One part's sorted cells, each with a key: cells and places of keys by bytes, then the distinct keys."""
+    keys, at = np.unique(key, return_inverse=True)
+    local = cell.view(np.uint64) & U((1 << (LOW_BITS + BAND_BITS)) - 1)
+    # Bands are the lowest bits, so planes of the sorted rest stay sorted.
+    return np.array([len(cell), len(keys)], "<u4").tobytes() + _planes(local, CELL_BYTES) + _planes(at, 2) + keys.astype("<i8").tobytes()
+
+
+def unpack(raw: pa.Buffer, part: int) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(raw, np.uint8)
+    n, k = data[:8].view("<u4").tolist()
+    cell = _from_planes(data[8 : 8 + n * CELL_BYTES], n, CELL_BYTES)
+    at = _from_planes(data[8 + n * CELL_BYTES : 8 + n * (CELL_BYTES + 2)], n, 2)
+    keys = np.frombuffer(data[8 + n * (CELL_BYTES + 2) :].tobytes(), "<i8", k)
+    return (cell | U(part << (LOW_BITS + BAND_BITS))).view(np.int64), keys[at]
 
 
 def shingle_sets(part: pa.RecordBatch, column: int, k: int) -> list[np.ndarray]:
@@ -106,63 +193,6 @@ def _key(s: np.ndarray) -> int:
     return int(mix(np.array([(int(total[0]) * 3 + int(total[1]) * 5 + int(total[2]) * 7) % 2**64], np.uint64)).view(np.int64)[0])
 
 
-POINT = "doc long, key long, n int, cells array<long>"
-
-
-def _points(k: int, percent: int):
-    bands = Bands(percent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, 1):
-                sets = shingle_sets(part, 1, k)
-                lists = [np.concatenate(cells(s, bands)[0]).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-                flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc", "key", "n", "cells"]
-                )
-
-    return run
-
-
-def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of cells with more than one key, from rows sorted by (cell, key), each with its cell's first key in the batch.
-
-    A batch's first and last cell may go on elsewhere, so they are passed on, marked, whatever they hold.
-    """
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        cell, key = (np.asarray(batch.column(i)) for i in range(2))
-        new = np.append(True, (cell[1:] != cell[:-1]) | (key[1:] != key[:-1]))
-        cell, key = cell[new], key[new]
-        head = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-        size = np.diff(np.append(head, len(cell)))
-        edge = np.zeros(len(size), bool)
-        edge[[0, -1]] = True
-        keep = np.repeat((size > 1) | edge, size)
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (cell, key, np.repeat(key[head], size), np.repeat(edge, size))], ["cell", "key", "pivot", "edge"])
-
-
-SET = "key long, n int, items binary, bands array<int>, counts array<binary>"
-
-
-def _sets(k: int, percent: int):
-    bands = Bands(percent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, 1):
-                sets = shingle_sets(part, 1, k)
-                items = [np.ascontiguousarray((s >> U(64 - 8 * BYTES)).view(np.uint8).reshape(-1, 8)[:, :BYTES]).tobytes() for s in sets]
-                own = [bands.of(len(s)) if len(s) else [] for s in sets]
-                counts = [[c.tobytes() for c in cells(s, bands)[1]] if len(s) else [] for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array([_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array(items, pa.binary()), pa.array(own, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.binary()))], ["key", "n", "items", "bands", "counts"])
-
-    return run
-
-
 def overlap_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Sums of coordinate minima of the rows of x and y; a count of 255 stands for any above it."""
     out = np.empty(len(x), np.int64)
@@ -203,6 +233,157 @@ class RTree:
             yield self.order[a[hit]], other.order[b[hit]]
 
 
+class Forest:
+    """Union-find over keys."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.root(a), self.root(b)
+        self.parent[a] = b
+        return a != b
+
+
+def shingle_words(text: str, k: int) -> set[bytes]:
+    """The shingles of a text themselves."""
+    w = tokenize(pa.array([text]), WHITE, lower=True)
+    words = [w.data[a:b].tobytes() for a, b in zip(w.start.tolist(), w.end.tolist(), strict=True)]
+    if len(words) < k:
+        return {b" ".join(words)} if words else set()
+    return {b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
+
+
+class Verifier:
+    """Whether two texts are similar enough: by hashed shingles, which never say no wrongly, then by the words."""
+
+    def __init__(self, k: int, percent: int):
+        self.k, self.percent = k, percent
+
+    def similar(self, a: pa.Scalar, b: pa.Scalar, hashed_a: np.ndarray, hashed_b: np.ndarray) -> bool:
+        need = needed(len(hashed_a), len(hashed_b), self.percent)
+        if need > min(len(hashed_a), len(hashed_b)):
+            return False
+        both = np.concatenate([hashed_a, hashed_b])
+        both.sort()
+        if np.count_nonzero(both[1:] == both[:-1]) < need:
+            return False
+        x, y = shingle_words(a.as_py(), self.k), shingle_words(b.as_py(), self.k)
+        return 100 * len(x & y) >= self.percent * len(x | y)
+
+    def hashed(self, names: np.ndarray, texts: pa.Array) -> dict[int, np.ndarray]:
+        """The hashed sets of texts by their names; texts of one name are equal in words."""
+        known, first = np.unique(names, return_index=True)
+        once = pa.RecordBatch.from_arrays([texts.take(pa.array(first))], ["text"])
+        return dict(zip(known.tolist(), (s for part in chunks(once, 0) for s in shingle_sets(part, 0, self.k)), strict=True))
+
+
+def _sent(a, b) -> tuple[int, int]:
+    return int(max(a, b)), int(min(a, b))
+
+
+class Gathered:
+    """Some megabytes of documents: their keys, count vectors, cells by part, and what they show by themselves."""
+
+    def __init__(self, k: int, percent: int, parts: int, id_type: pa.DataType):
+        self.k, self.percent, self.parts, self.id_type = k, percent, parts, id_type
+        self.docs, self.txt, self.keys, self.sizes, self.sets, self.texts = [], [], [], [], {}, {}
+        self.bytes = self.rows = 0
+
+    def add(self, part: pa.RecordBatch) -> None:
+        sets = shingle_sets(part, 2, self.k)
+        keys = [_key(s) for s in sets]
+        for i, (key, s) in enumerate(zip(keys, sets, strict=True)):
+            if len(s) and key not in self.sets:
+                self.sets[key], self.texts[key] = s, part.column(2)[i]
+        self.docs.append(part.column(0))
+        self.txt.append(part.column(1))
+        self.keys += keys
+        self.sizes += [len(s) for s in sets]
+        self.bytes += part.column(2).nbytes
+        self.rows += part.num_rows
+
+    def batch(self) -> pa.RecordBatch:
+        names = np.array(list(self.sets), np.int64)
+        found = Cells(list(self.sets.values()), Bands(self.percent))
+        part, cell = named_cells(found.cell, self.parts)
+        key = names[found.owner] if len(names) else np.zeros(0, np.int64)
+        order = np.lexsort((key, cell))
+        cell, key = cell[order], key[order]
+        head = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])[: len(cell)])
+        size = np.diff(np.append(head, len(cell)))
+        many = np.repeat(size > 1, size)
+        links = self._links(key[many], np.repeat(key[head], size)[many]) if many.any() else []
+        # Parts are the high bits of cells, so each part's cells stand together.
+        first, of = cell[head], cell[head] >> (LOW_BITS + BAND_BITS)
+        limit = np.searchsorted(of, np.arange(self.parts + 1))
+        blobs = [pack(first[a:b], key[head][a:b]) if b > a else None for a, b in zip(limit[:-1].tolist(), limit[1:].tolist(), strict=True)]
+        one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        struct = lambda **c: one(pa.StructArray.from_arrays(list(c.values()), list(c)))
+        vectors = found.vectors
+        sizes = [len(s) for s in self.sets.values()]
+        return pa.RecordBatch.from_arrays(
+            [
+                struct(doc=pa.chunked_array(self.docs).combine_chunks(), txt=pa.chunked_array(self.txt).combine_chunks(), key=pa.array(self.keys, pa.int64()), n=pa.array(self.sizes, pa.int32())),
+                struct(key=pa.array([names[v[0]] for v in vectors], pa.int64()), n=pa.array([sizes[v[0]] for v in vectors], pa.int32()), band=pa.array([v[1] for v in vectors], pa.int32()), counts=pa.array([v[2] for v in vectors], pa.binary())),
+                struct(cell=pa.array(cell[many]), key=pa.array(key[many])),
+                struct(a=pa.array([x[0] for x in links], pa.int64()), b=pa.array([x[1] for x in links], pa.int64())),
+                one(pa.array(blobs, pa.binary())),
+            ],
+            ["docs", "vectors", "met", "links", "blobs"],
+        )
+
+    def _links(self, key: np.ndarray, pivot: np.ndarray) -> list[tuple[int, int]]:
+        """Links between sets and the pivot that they share most cells with."""
+        apart = key != pivot
+        pairs, shared = np.unique(np.stack([key[apart], pivot[apart]]), axis=1, return_counts=True)
+        order = np.lexsort((-shared, pairs[0]))
+        best = order[np.append(True, pairs[0][order][1:] != pairs[0][order][:-1])] if len(order) else order
+        verifier, forest, out = Verifier(self.k, self.percent), Forest(), []
+        for a, b in pairs[:, best].T.tolist():
+            if forest.root(a) != forest.root(b) and verifier.similar(self.texts[a], self.texts[b], self.sets[a], self.sets[b]):
+                forest.join(a, b)
+                out.append(_sent(a, b))
+        return out
+
+
+def _gathered(k: int, percent: int, parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None
+        for batch in batches:
+            for part in chunks(batch, 2):
+                now = now or Gathered(k, percent, parts, part.schema.field(0).type)
+                now.add(part)
+                if now.bytes >= GATHER_BYTES or now.rows >= GATHER_ROWS:
+                    yield now.batch()
+                    now = None
+        if now:
+            yield now.batch()
+
+    return run
+
+
+def _meetings(table: pa.Table) -> pa.Table:
+    """(cell, key, pivot) of one part's cells that have more than one key; pivot is the least of them."""
+    part = table.column("part")[0].as_py()
+    both = [unpack(x.as_buffer(), part) for chunk in table.column("blob").chunks for x in chunk]
+    cell, key = (np.concatenate(x) for x in zip(*both, strict=True))
+    order = np.lexsort((key, cell))
+    cell, key = cell[order], key[order]
+    new = np.append(True, (cell[1:] != cell[:-1]) | (key[1:] != key[:-1]))
+    cell, key = cell[new], key[new]
+    head = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    size = np.diff(np.append(head, len(cell)))
+    keep = np.repeat(size > 1, size)
+    return pa.table({"cell": cell[keep], "key": key[keep], "pivot": np.repeat(key[head], size)[keep]})
+
+
 PAIR = "a long, b long"
 
 
@@ -238,64 +419,72 @@ def _points_of(task: pa.Table) -> np.ndarray:
     return _flat(task.column("counts").combine_chunks()).reshape(task.num_rows, -1)
 
 
-SURVIVOR = "cell long, lo int, hi int, key long, component long"
+SURVIVOR = "cell long, lo int, hi int, key long, component long, other long"
 
 
 def _survivors(percent: int):
-    """The rows of each task that are in a pair which its trees leave; needs no sets."""
+    """What the trees of each task leave; needs no texts.
+
+    A task with SPARSE pairs a row at most sends them as (key, other), so that a pair which meets in many tasks is verified
+    once.  One with more sends its rows that are in a pair, to be verified together: so never more than a bounded number a row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tasks in _task_lists(batches):
-            out = []
+            pairs, rows = [], []
             for task in tasks:
-                if pa.compute.count_distinct(task.column("component")).as_py() > 1:
-                    left = np.zeros(task.num_rows, bool)
-                    for x, y in _near_pairs(task, _points_of(task), percent):
-                        left[x] = left[y] = True
-                    if left.any():
-                        out.append(task.select(["cell", "lo", "hi", "key", "component"]).filter(pa.array(left)))
-            if out:
-                yield from pa.concat_tables(out).combine_chunks().to_batches()
+                if pa.compute.count_distinct(task.column("component")).as_py() < 2:
+                    continue
+                left, few, n = np.zeros(task.num_rows, bool), [], 0
+                for x, y in _near_pairs(task, _points_of(task), percent):
+                    left[x] = left[y] = True
+                    n += len(x)
+                    if n <= SPARSE * task.num_rows:
+                        few.append((x, y))
+                if n > SPARSE * task.num_rows:
+                    rows.append(task.select(["cell", "lo", "hi", "key", "component"]).filter(pa.array(left)))
+                elif n:
+                    key = task.column("key").to_numpy()
+                    a, b = (key[np.concatenate(side)] for side in zip(*few, strict=True))
+                    pairs.append(np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1))
+            if pairs:
+                a, b = np.unique(np.concatenate(pairs, axis=1), axis=1)
+                none = [pa.nulls(len(a), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*none[:3], pa.array(a), none[3], pa.array(b)], ["cell", "lo", "hi", "key", "component", "other"])
+            if rows:
+                dense = pa.concat_tables(rows)
+                yield from dense.append_column("other", pa.nulls(dense.num_rows, pa.int64())).combine_chunks().to_batches()
 
     return run
 
 
-def _tree_links(percent: int):
+def _tree_links(k: int, percent: int):
     """Links from rows sorted by task.
 
     Pairs that the trees leave are verified here, best bound first, and pairs that links found so far connect
     are skipped: what comes out of a task is a forest over its rows.
     """
+    verifier = Verifier(k, percent)
 
-    def links(task: pa.Table) -> list[tuple[int, int]]:
-        keys, labels, sizes = (task.column(c).to_numpy() for c in ("key", "component", "n"))
-        items, points = task.column("items").combine_chunks(), _points_of(task)
-        parent: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while parent.setdefault(x, x) != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        sets: dict[int, np.ndarray] = {}
+    def links(task: pa.Table, sets: dict[int, np.ndarray]) -> list[tuple[int, int]]:
+        keys, labels = (task.column(c).to_numpy().tolist() for c in ("key", "component"))
+        texts, points, forest = task.column("text").combine_chunks(), _points_of(task), Forest()
         out = []
         for x, y in _near_pairs(task, points, percent):
             order = np.argsort(-overlap_bound(points[x], points[y]), kind="stable")
             for i, j in zip(x[order].tolist(), y[order].tolist(), strict=True):
-                a, b = root(int(labels[i])), root(int(labels[j]))
-                if a == b:
-                    continue
-                for k in (i, j):
-                    if k not in sets:
-                        sets[k] = _unpacked(items[k].as_buffer())
-                if len(np.intersect1d(sets[i], sets[j], assume_unique=True)) >= needed(int(sizes[i]), int(sizes[j]), percent):
-                    parent[a] = b
-                    out.append((int(max(keys[i], keys[j])), int(min(keys[i], keys[j]))))
+                if forest.root(labels[i]) != forest.root(labels[j]) and verifier.similar(texts[i], texts[j], sets[keys[i]], sets[keys[j]]):
+                    forest.join(labels[i], labels[j])
+                    out.append(_sent(keys[i], keys[j]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tasks in _task_lists(batches):
-            found = np.unique(np.array([x for task in tasks for x in links(task)], np.int64).reshape(-1, 2), axis=0)
+            if not tasks:
+                continue
+            rows = pa.concat_tables(tasks)
+            sets = verifier.hashed(rows.column("key").to_numpy(), rows.column("text").combine_chunks())
+            found = np.unique(np.array([x for task in tasks for x in links(task, sets)], np.int64).reshape(-1, 2), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
 
     return run
@@ -308,27 +497,15 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
     yield None
 
 
-def _verified(percent: int):
-    """Pairs (a, b) whose sets are similar enough; the bound on counts first, then the sets."""
+def _verified(k: int, percent: int):
+    """Pairs (a, b) whose texts are similar enough."""
+    verifier = Verifier(k, percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            col = {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
-            keep = []
-            for i in range(batch.num_rows):
-                na, nb = col["n_a"][i], col["n_b"][i]
-                need = needed(na, nb, percent)
-                if need > min(na, nb):
-                    continue
-                common = [k for k in col["bands_a"][i] if k in col["bands_b"][i]]
-                if common:
-                    x = np.frombuffer(col["counts_a"][i][col["bands_a"][i].index(common[0])], np.uint8)[None]
-                    y = np.frombuffer(col["counts_b"][i][col["bands_b"][i].index(common[0])], np.uint8)[None]
-                    if overlap_bound(x, y)[0] < need:
-                        continue
-                a, b = (_unpacked(col[c][i]) for c in ("items_a", "items_b"))
-                if len(np.intersect1d(a, b, assume_unique=True)) >= need:
-                    keep.append(i)
+            a, b, x, y = batch.columns
+            sets = verifier.hashed(np.concatenate([np.asarray(a), np.asarray(b)]), pa.concat_arrays([x, y]))
+            keep = [i for i, (p, q) in enumerate(zip(a.to_pylist(), b.to_pylist(), strict=True)) if verifier.similar(x[i], y[i], sets[p], sets[q])]
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     return run
@@ -340,72 +517,74 @@ def _flat(values: pa.Array) -> np.ndarray:
     return np.frombuffer(values.buffers()[2], np.uint8)[ends[0] : ends[-1]]
 
 
-def _unpacked(raw: bytes | pa.Buffer) -> np.ndarray:
-    out = np.zeros((len(raw) // BYTES, 8), np.uint8)
-    out[:, :BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, BYTES)
-    return out.view(np.uint64).ravel()
-
-
 def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, set_key.
 
     Words are lower-cased in A-Z only.  Sets are the distinct k-word shingles, or the whole sequence where a text
     has fewer words; two link when 100 * intersection >= percent * union; component_id is the least doc_id reachable.
     Null and empty texts have no shingles and link with nothing.  A null doc_id counts as larger than any other and
-    comes back null; repeated rows, or rows with one id, are documents of their own that share what they
-    are linked with; an empty table gives no rows.
+    comes back null (so does 2**63 - 1 among integers); ids other than integers order as strings; repeated rows, or rows
+    with one id, are documents of their own that share what they are linked with; an empty table gives no rows.
 
-    Equal sets are one node.  Each node is tested against the first node of each of its cells; what is then still in
-    different components goes, with all pairs across components, through the R-tree.
+    Equal sets are one node, known by a 64-bit hash.  Each node is tested against one node that it shares most cells with;
+    what is then still in different components goes, with all pairs across components, through the R-tree.
     """
-    base = docs.select(id_key(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
-    points = materialize(base.mapInArrow(_points(k, percent), POINT), "jaccard-points", wide=True)
-    nodes = points.where("n > 0").groupBy("key").agg(F.min("doc").alias("rep"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = points.where("n > 0").select(F.explode("cells").alias("cell"), "key", F.pmod("doc", F.lit(64)).cast("byte").alias("salt"))
-    order = ["cell", "key", "salt"]
-    met = materialize(spread.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("cell", "key").mapInArrow(_meetings, "cell long, key long, pivot long, edge boolean"), "jaccard-meetings")
-    ends = met.where("edge").select("cell", "pivot").distinct()
-    link = ends.join(ends.groupBy("cell").agg(F.min("pivot").alias("least")), "cell").select(F.col("pivot").alias("a"), F.col("least").alias("b"))
-    stars = met.select(F.col("key").alias("a"), F.col("pivot").alias("b")).unionByName(link).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    stars = materialize(stars, "jaccard-stars")
-    members = stars.select(F.col("a").alias("key")).unionByName(stars.select(F.col("b").alias("key"))).distinct()
-    wanted = members.join(nodes, "key").select(F.col("rep").alias("doc")).distinct()
-    sets = materialize(base.join(wanted, "doc", "left_semi").mapInArrow(_sets(k, percent), SET), "jaccard-sets", wide=True)
-    links = materialize(_check(stars, sets, percent), "jaccard-links", wide=True)
+    ids = Ids(docs, id_col)
+    parts = min(MOST_PARTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    base = docs.select(ids.encode().alias("doc"), F.xxhash64(text_or_empty(text_col)).alias("txt"), text_or_empty(text_col).alias("text"))
+    schema = f"docs array<struct<doc:{ids.type},txt:long,key:long,n:int>>, vectors array<struct<key:long,n:int,band:int,counts:binary>>, met array<struct<cell:long,key:long>>, links array<struct<a:long,b:long>>, blobs array<binary>"
+    gathered = materialize(base.mapInArrow(_gathered(k, percent, parts), schema), "jaccard-gathered")
+    points = gathered.select(F.inline("docs"))
+    nodes = points.where("n > 0").groupBy("key").agg(F.min(F.struct("doc", "txt")).alias("rep"))
+    blobs = gathered.select(F.posexplode("blobs").alias("part", "blob")).where("blob IS NOT NULL")
+    across = materialize(blobs.repartition(parts, "part").groupBy("part").applyInArrow(_meetings, "cell long, key long, pivot long"), "jaccard-across")
+    cell_keys = materialize(across.select("cell", "key").unionByName(gathered.select(F.inline("met"))).distinct(), "jaccard-cells")
+    # Each node's best star, by the cells it shares.
+    shared = across.where("key <> pivot").groupBy("key", "pivot").agg(F.count("*").alias("shared"))
+    stars = materialize(shared.groupBy("key").agg(F.max(F.struct("shared", "pivot")).alias("best")).select(F.col("key").alias("a"), F.col("best.pivot").alias("b")), "jaccard-stars")
+    wanted = cell_keys.select("key").distinct().join(nodes, "key").select("rep.doc", "rep.txt", "key")
+    texts = materialize(base.join(wanted, ["doc", "txt"]).select("key", "text"), "jaccard-texts")
+    links = materialize(_check(stars, texts, k, percent).unionByName(gathered.select(F.inline("links"))).distinct(), "jaccard-links")
+    discard(across, stars)
     now = materialize(components(links), "jaccard-components")
-    cell_keys = materialize(met.select("cell", "key").distinct(), "jaccard-cells")
     # What is still open goes through the tree: in each cell all pairs across components, one cell for each set of nodes.
     placed, largest = _placed(cell_keys, now)
     state = placed.groupBy("cell").agg(*_signature())
     inside = placed.join(largest, ["cell", "component"]).groupBy("cell").agg(F.count("*").alias("inside"))
-    state = state.join(inside, "cell").join(largest.withColumnRenamed("component", "main"), "cell").where("inside < size AND size > 2")
+    state = state.join(inside, "cell").join(largest.withColumnRenamed("component", "main"), "cell").where("inside < size")
     open_ = state.groupBy("size", "sum", "xor").agg(F.min(F.struct("cell", "inside", "main")).alias("s")).select(F.col("s.cell").alias("cell"), F.col("s.main").alias("main"), F.ceil(F.col("s.inside") / F.lit(BLOCK)).cast("int").alias("main_blocks"), F.ceil((F.col("size") - F.col("s.inside")) / F.lit(BLOCK)).cast("int").alias("blocks"))
     open_ = materialize(open_, "jaccard-open")
-    # First the counts alone; the sets then go only to rows that are in a pair which the trees leave.
-    rows = placed.join(open_, "cell").withColumn("band", _band()).join(_vectors(sets), ["key", "band"])
+    # First the counts alone; the texts then go only to rows that are in a pair which the trees leave.
+    in_open = placed.join(open_, "cell").withColumn("band", _band())
+    vectors = gathered.select(F.inline("vectors")).join(in_open.select("key", "band").distinct(), ["key", "band"], "left_semi").dropDuplicates(["key", "band"])
+    vectors = materialize(vectors, "jaccard-vectors")
+    rows = in_open.join(vectors, ["key", "band"])
     # Blocks of the largest component meet the blocks of the others, never each other.
     is_main = F.col("component") == F.col("main")
     rows = rows.withColumn("block", F.when(is_main, F.pmod(F.xxhash64("key"), "main_blocks")).otherwise(F.col("main_blocks") + F.pmod(F.xxhash64("key"), "blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.when(is_main, F.expr("sequence(main_blocks, main_blocks + blocks - 1)")).otherwise(F.expr("sequence(0, main_blocks + blocks - 1)"))))
     tasks = rows.select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "component", F.col("n").cast("long").alias("n"), "counts")
-    near = materialize(_dealt(tasks, parts).mapInArrow(_survivors(percent), SURVIVOR), "jaccard-survivors", wide=True)
+    near = materialize(_dealt(tasks, parts).mapInArrow(_survivors(percent), SURVIVOR), "jaccard-survivors")
+    pairs = near.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")).distinct()
+    dense = near.where("other IS NULL").drop("other")
     # One task for each set of rows left.
-    state = near.groupBy("cell", "lo", "hi").agg(*_signature())
+    state = dense.groupBy("cell", "lo", "hi").agg(*_signature())
     once = state.groupBy("size", "sum", "xor").agg(F.min(F.struct("cell", "lo", "hi")).alias("s")).select("s.cell", "s.lo", "s.hi")
-    rows = near.join(once, ["cell", "lo", "hi"]).withColumn("band", _band()).join(_vectors(sets, "items"), ["key", "band"])
-    tasks = rows.select("cell", "lo", "hi", F.lit(0).alias("block"), "key", "component", F.col("n").cast("long").alias("n"), "counts", "items")
-    more = materialize(_dealt(tasks, parts).mapInArrow(_tree_links(percent), PAIR).distinct(), "jaccard-more", wide=True)
+    rows = dense.join(once, ["cell", "lo", "hi"]).withColumn("band", _band()).join(vectors, ["key", "band"]).join(texts, "key")
+    tasks = rows.select("cell", "lo", "hi", F.lit(0).alias("block"), "key", "component", F.col("n").cast("long").alias("n"), "counts", "text")
+    together = by_few_rows(_dealt(tasks, parts), _tree_links(k, percent), PAIR)
+    more = materialize(together.unionByName(_check(pairs, texts, k, percent)).distinct(), "jaccard-more")
     final = materialize(components(links.unionByName(more)), "jaccard-components")
-    named = nodes.join(final, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "key").alias("component"))
-    least = materialize(named.groupBy("component").agg(F.min("rep").alias("least")), "jaccard-least")
+    named = nodes.join(final, F.col("key") == F.col("node"), "left").select("key", "rep.doc", F.coalesce("component", "key").alias("component"))
+    least = materialize(named.groupBy("component").agg(F.min("doc").alias("least")), "jaccard-least")
     of_key = materialize(named.join(least, "component").select("key", "least"), "jaccard-classes")
-    out = points.select("doc", "key", "n").join(of_key, "key", "left")
-    return out.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.nullif(F.coalesce(F.when(F.col("n") > 0, F.col("least")), F.col("doc")), F.lit(NULL_ID)).alias("component_id"), F.col("key").alias("set_key"))
+    out = materialize(points.select("doc", "key", "n").join(of_key, "key", "left"), "jaccard-documents")
+    discard(gathered, cell_keys, texts, links, now, placed, largest, open_, vectors, near, more, final, least, of_key)
+    return out.select(ids.decode("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), ids.decode(F.coalesce(F.when(F.col("n") > 0, F.col("least")), F.col("doc"))).alias("component_id"), F.col("key").alias("set_key"))
 
 
 def _band():
-    return F.col("cell").bitwiseAND(F.lit(BAND_MASK)).cast("int")
+    return F.col("cell").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int")
 
 
 def _signature() -> list:
@@ -413,12 +592,6 @@ def _signature() -> list:
     return [F.count("*").alias("size"), F.sum(F.pmod(F.xxhash64("key"), F.lit(2**40))).alias("sum"), F.expr("bit_xor(xxhash64(key, 7))").alias("xor")]
 
 
-def _vectors(sets: DataFrame, *more: str) -> DataFrame:
-    """(key, n, band, counts) with a row for each band of a set."""
-    each = sets.select("key", "n", *more, F.explode(F.arrays_zip("bands", "counts")).alias("v"))
-    return each.select("key", "n", *more, F.col("v.bands").alias("band"), F.col("v.counts").alias("counts"))
-
-
 def _dealt(tasks: DataFrame, parts: int) -> DataFrame:
     return tasks.repartition(parts, "cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi")
 
@@ -431,16 +604,19 @@ def _placed(cells_: DataFrame, now: DataFrame) -> tuple[DataFrame, DataFrame]:
     return placed, largest
 
 
-def _check(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    side = lambda s: sets.select(F.col("key").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "items", "bands", "counts")])
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verified(percent), PAIR)
+def _check(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of keys whose texts are similar enough."""
+    side = lambda s: texts.select(F.col("key").alias(s), F.col("text").alias(f"text_{s}"))
+    return by_few_rows(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b"), _verified(k, percent), PAIR)
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group of near copies: the one with the least id.
 
-    Documents without words stay.  Rows with equal ids stay or go together, those without an id as well.
+    Documents without words (null and empty texts) stay.  Rows with equal ids stay or go together, those without an id as
+    well, so exact repeats of a row stay; columns may have any names; an empty table gives an empty table.
     """
     group = classes(docs, k, percent, id_col=id_col, text_col=text_col)
-    chosen = group.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(chosen, F.col(id_col).eqNullSafe(F.col("kept_id")), "left_semi")
+    gone = group.groupBy("doc_id").agg(F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("first")).where("NOT first").select(F.col("doc_id").alias("its_id"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(gone, F.col(f"row.`{id_col}`").eqNullSafe(F.col("its_id")), "left_anti").select("row.*")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import Ids, materialize, text_or_empty
 from .textcols import U, Words, chunks, mix, prefix, ranges, tokenize
 
 #: Documents the linear scorer is trained on at most (those with the least text hashes), and its hashed features.
@@ -186,7 +186,8 @@ def quality(docs: DataFrame, at: float = 0.5, *, id_col: str = "doc_id", text_co
     TRAIN_DOCS documents at most and scores every whole text.  Null and empty texts have no words, so
     labellers call them bad; equal texts get equal scores; an empty table gives no rows.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    ids = Ids(docs, id_col)
+    base = docs.select(ids.encode().alias("doc_id"), text_or_empty(text_col).alias("text"))
     voted = materialize(base.select(F.xxhash64("text").alias("order"), "text").mapInArrow(_voted, "order long, pattern string"), "quality-votes")
     posterior, _ = estimate({r[0]: r[1] for r in voted.groupBy("pattern").count().collect()})
     # The hash below which TRAIN_DOCS documents lie; equal texts are one.
@@ -196,4 +197,5 @@ def quality(docs: DataFrame, at: float = 0.5, *, id_col: str = "doc_id", text_co
         sample = base.select("text").where(F.xxhash64("text") <= F.lit(limit)).dropDuplicates(["text"]).mapInArrow(_featured, "pattern string, at array<int>, value array<float>")
         rows = [(posterior[r[0]], np.array(r[1], np.int64), np.array(r[2])) for r in sample.toLocalIterator()]
     w, b = train(rows)
-    return base.mapInArrow(_scored(w, b), "doc_id long, score double").withColumn("keep", F.col("score") >= F.lit(at))
+    scores = base.mapInArrow(_scored(w, b), f"doc_id {ids.type}, score double")
+    return scores.select(ids.decode("doc_id").alias("doc_id"), "score", (F.col("score") >= F.lit(at)).alias("keep"))

@@ -11,7 +11,8 @@ need to be compared only below one signature.  Neighbouring windows mostly share
 3. where a signature has several contents, equal contents are settled the same way, and one
    document of each content sends the hashes of its single windows, which settles the rest.
 
-Every comparison is by 64-bit hashes of the words together with their 64-bit signature.
+Words are compared by two independent hashes, polynomials of 61 bits modulo a prime with bases of their own: the
+signature and the content of an instance, or the two hashes of a window.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, id_key, materialize, text_or_empty
-from .textcols import MIX, SEQ, U, Words, chunks, mix, prefix, ranges, tokenize
+from .common import Ids, materialize, text_or_empty
+from .textcols import MIX, SEQ, SEQ2, U, Words, chunks, mix, prefix, ranges, tokenize
 
 #: (words, first word of each word's document, end of it) -> (priority, signature, lo, hi) of the
 #: possible anchors in text order: one is possible in a window that holds the words lo..hi.
@@ -64,7 +65,7 @@ def instances(w: Words, anchors: Anchors, length: int) -> tuple[np.ndarray, ...]
     at = np.flatnonzero(np.arange(n) + length <= end)
     if not len(at):
         return tuple(np.zeros(0, np.int64) for _ in range(5))
-    pre = prefix(w.hash, SEQ)
+    pre = prefix(w.hash, SEQ2)
     priority, signature, lo, hi = anchors(w.hash, first, end)
     chosen = choose(priority, lo, hi, at, length, n)
     # A window without an anchor stands for itself.
@@ -73,15 +74,17 @@ def instances(w: Words, anchors: Anchors, length: int) -> tuple[np.ndarray, ...]
     head = np.flatnonzero(fresh)
     last = np.append(head[1:], len(at)) - 1
     p1, p2, who = at[head], at[last], chosen[head]
-    content = ranges(pre, p1, p2 + length, SEQ)
+    content = ranges(pre, p1, p2 + length, SEQ2)
     own = who < 0
-    sig = np.where(own, content, signature[np.maximum(who, 0)] if len(signature) else content)
+    alone = ranges(prefix(w.hash, SEQ), p1, p2 + length, SEQ) if own.any() else content
+    sig = np.where(own, alone, signature[np.maximum(who, 0)] if len(signature) else alone)
     content = np.where(own, content, mix(content ^ (np.where(own, 0, lo[np.maximum(who, 0)] - p1).astype(np.uint64) * U(MIX)) if len(lo) else content))
     text = np.searchsorted(w.at, p1, side="right") - 1
     return sig.view(np.int64), content.view(np.int64), text, (p1 - first[p1]), (p2 - p1 + 1)
 
 
-INSTANCE = "sig long, content long, doc long, txt long, at int, n int"
+def taken(column: pa.Array, at: np.ndarray) -> pa.Array:
+    return column.take(pa.array(at))
 
 
 def _instance_rows(anchors: Anchors, length: int):
@@ -89,8 +92,7 @@ def _instance_rows(anchors: Anchors, length: int):
         for batch in batches:
             for part in chunks(batch, 2):
                 sig, content, text, at, n = instances(tokenize(part.column(2)), anchors, length)
-                doc, txt = (np.asarray(part.column(i)) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(content), pa.array(doc[text]), pa.array(txt[text]), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], ["sig", "content", "doc", "txt", "at", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(content), taken(part.column(0), text), taken(part.column(1), text), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], ["sig", "content", "doc", "txt", "at", "n"])
 
     return run
 
@@ -103,11 +105,10 @@ def _window_rows(length: int):
             for part in chunks(batch, 2):
                 w = tokenize(part.column(2))
                 at, counts, text = _spans(part.column(3), w.at)
-                pre = prefix(w.hash, SEQ)
                 p = np.repeat(at - np.cumsum(counts) + counts, counts) + np.arange(counts.sum()) if len(at) else at
                 text = np.repeat(text, counts)
-                doc, txt = (np.asarray(part.column(i)) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(ranges(pre, p, p + length, SEQ).view(np.int64)), pa.array(doc[text]), pa.array(txt[text]), pa.array((p - w.at[text]).astype(np.int32))], ["window", "doc", "txt", "at"])
+                window, again = (pa.array(ranges(prefix(w.hash, base), p, p + length, base).view(np.int64)) for base in (SEQ, SEQ2))
+                yield pa.RecordBatch.from_arrays([window, again, taken(part.column(0), text), taken(part.column(1), text), pa.array((p - w.at[text]).astype(np.int32))], ["window", "again", "doc", "txt", "at"])
 
     return run
 
@@ -121,7 +122,7 @@ def _spans(column: pa.Array, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at + starts[text], n, text
 
 
-REMOVED = "doc long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+REMOVED = "doc {id}, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
 def _removed_rows(length: int, with_text: bool):
@@ -166,9 +167,9 @@ def repeats_removed(docs: DataFrame, anchors: Anchors, length: int = 50, *, sett
 
     ``settle`` finds, among instances, the signatures that occur more than once.
     """
-    text = text_or_empty(text_col)
-    base = docs.select(id_key(id_col).alias("doc"), F.xxhash64(text).alias("txt"), text.alias("text"))
-    found = materialize(base.mapInArrow(_instance_rows(anchors, length), INSTANCE), "window-instances")
+    text, ids = text_or_empty(text_col), Ids(docs, id_col)
+    base = docs.select(ids.encode().alias("doc"), F.xxhash64(text).alias("txt"), text.alias("text"))
+    found = materialize(base.mapInArrow(_instance_rows(anchors, length), f"sig long, content long, doc {ids.type}, txt long, at int, n int"), "window-instances")
     shared = materialize(settle(found), "window-signatures")
     both = found.join(shared, "sig")
     single = both.where("NOT mixed AND doc > smallest").select("doc", "txt", "at", "n")
@@ -177,11 +178,12 @@ def repeats_removed(docs: DataFrame, anchors: Anchors, length: int = 50, *, sett
     settled = mixed.join(contents, ["sig", "content"])
     equal = settled.where("doc > smallest").select("doc", "txt", "at", "n")
     open_ = settled.where("doc = smallest").groupBy("doc", "txt").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    windows = base.join(open_, ["doc", "txt"]).select("doc", "txt", "text", "spans").mapInArrow(_window_rows(length), "window long, doc long, txt long, at int")
+    windows = base.join(open_, ["doc", "txt"]).select("doc", "txt", "text", "spans").mapInArrow(_window_rows(length), f"window long, again long, doc {ids.type}, txt long, at int")
     # One row per content and window, so a key has as many rows as there are different contents around it.
-    first = windows.withColumn("smallest", F.min("doc").over(Window.partitionBy("window")))
-    late = first.where("doc > smallest").select("doc", "txt", "at", F.lit(1).alias("n"))
+    windows = materialize(windows, "window-windows")
+    first = windows.groupBy("window", "again").agg(F.min("doc").alias("smallest"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    late = windows.join(first, ["window", "again"]).where("doc > smallest").select("doc", "txt", "at", F.lit(1).alias("n"))
     spans = single.unionByName(equal).unionByName(late).groupBy("doc", "txt").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
     whole = base.join(spans, ["doc", "txt"], "left").select("doc", "txt", "text", "spans")
-    out = whole.mapInArrow(_removed_rows(length, with_text), REMOVED)
-    return out.select(F.nullif("doc", F.lit(NULL_ID)).alias("doc_id"), "n_words", "n_removed", "kept_sha256", *(["kept_text"] if with_text else []))
+    out = whole.mapInArrow(_removed_rows(length, with_text), REMOVED.format(id=ids.type))
+    return out.select(ids.decode("doc").alias("doc_id"), "n_words", "n_removed", "kept_sha256", *(["kept_text"] if with_text else []))
