@@ -1 +1 @@
-
+"""Scalar functions over Columns: names, times, JSON, image metadata."""

@@ -1,14 +1,21 @@
-"""Queries by name: (function of (spark, sf_dir), DuckDB SQL or None)."""
+"""Queries by name: (function of (spark, sf_dir), DuckDB SQL or None).  Each calls operators of the package on the driver's tables."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import images, records
-from ..views import PX, REC, px, rec, table
+from ..functions import names, ngff, times
+from ..operators import planes as images
+from ..operators import records
+from ..scratch import materialize, scratch_dir
+from ..sinks import images as writers
+from ..sinks import previews, recompress
+from ..sources import archives, catalog, files, tiff
+from ..views import KEYED, PX, REC, STACK_SQL, planes, rec, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Query, str | None]] = {}
@@ -24,173 +31,450 @@ def query(sql: str | None = None):
 
 # Image operators
 
+ALL = ("stack", "t", "c", "z")
 
-@query(f"WITH {PX} SELECT t, c, y, x, max(v) AS v FROM px GROUP BY t, c, y, x")
+
+@query(f"WITH {PX} SELECT stack, t, c, y, x, max(v) AS v FROM px GROUP BY ALL")
 def mip(spark, sf_dir):
-    return images.project_max(px(spark, sf_dir))
+    return images.exploded(images.project(planes(spark, sf_dir), "mip"), "stack", "t", "c")
 
 
-@query(f"WITH {PX}, best AS (SELECT z FROM px GROUP BY z ORDER BY avg(v) DESC, z LIMIT 1) SELECT t, c, y, x, z, v FROM px SEMI JOIN best USING (z)")
+@query(f"""WITH {PX}, means AS (SELECT stack, z, avg(v) AS m FROM px GROUP BY ALL), best AS (SELECT stack, z FROM means QUALIFY row_number() OVER (PARTITION BY stack ORDER BY m DESC, z) = 1)
+    SELECT stack, t, c, z, y, x, v FROM px SEMI JOIN best USING (stack, z)""")
 def maxz(spark, sf_dir):
-    return images.project_brightest(px(spark, sf_dir))
+    return images.exploded(images.project(planes(spark, sf_dir), "maxz"), *ALL)
 
 
 def _entropy(order: str) -> str:
-    return f"""WITH {PX}, lim AS (SELECT t, c, z, count(*) AS n, CASE WHEN min(v) = max(v) THEN min(v) - 0.5::DOUBLE ELSE min(v)::DOUBLE END AS lo,
-        CASE WHEN min(v) = max(v) THEN 1.0::DOUBLE ELSE (max(v) - min(v))::DOUBLE END AS span FROM px GROUP BY t, c, z),
-    bins AS (SELECT t, c, z, least(255, floor((v - lo) * 256 / span)) AS b, n, span, count(*) AS k FROM px JOIN lim USING (t, c, z) GROUP BY ALL),
-    ent AS (SELECT t, c, z, round(-sum(k / (n * span / 256) * log2(k / (n * span / 256))), 9) AS e FROM bins GROUP BY t, c, z),
-    best AS (SELECT t, c, z FROM ent QUALIFY row_number() OVER (PARTITION BY t, c ORDER BY e {order}, z) = 1)
-    SELECT t, c, y, x, z, v FROM px SEMI JOIN best USING (t, c, z)"""
+    return f"""WITH {PX}, lim AS (SELECT stack, t, c, z, count(*) AS n, CASE WHEN min(v) = max(v) THEN min(v) - 0.5::DOUBLE ELSE min(v)::DOUBLE END AS lo,
+        CASE WHEN min(v) = max(v) THEN 1.0::DOUBLE ELSE (max(v) - min(v))::DOUBLE END AS span FROM px GROUP BY ALL),
+    bins AS (SELECT stack, t, c, z, least(255, floor((v - lo) * 256 / span)) AS b, n, span, count(*) AS k FROM px JOIN lim USING (stack, t, c, z) GROUP BY ALL),
+    ent AS (SELECT stack, t, c, z, round(-sum(k / (n * span / 256) * log2(k / (n * span / 256))), 9) AS e FROM bins GROUP BY ALL),
+    best AS (SELECT stack, t, c, z FROM ent QUALIFY row_number() OVER (PARTITION BY stack, t, c ORDER BY e {order}, z) = 1)
+    SELECT stack, t, c, z, y, x, v FROM px SEMI JOIN best USING (stack, t, c, z)"""
 
 
 @query(_entropy("DESC"))
 def entropy_max(spark, sf_dir):
-    return images.project_entropy(px(spark, sf_dir), True)
+    return images.exploded(images.project(planes(spark, sf_dir), "max_entropy"), *ALL)
 
 
 @query(_entropy("ASC"))
 def entropy_min(spark, sf_dir):
-    return images.project_entropy(px(spark, sf_dir), False)
+    return images.exploded(images.project(planes(spark, sf_dir), "min_entropy"), *ALL)
 
 
-@query(f"WITH {PX} SELECT t, c, z, y, x, v FROM px")
+@query(f"WITH {PX} SELECT stack, t, c, z, y, x, v FROM px")
 def zkeep(spark, sf_dir):
-    return px(spark, sf_dir).select("t", "c", "z", "y", "x", "v")
+    return images.exploded(images.project(planes(spark, sf_dir), "keep"), *ALL)
+
+
+def _mirrored(n: int) -> str:
+    """SQL for a place that may lie outside 0..7, mirrored with the edge repeated."""
+    return f"CASE WHEN ({n}) % 16 + CASE WHEN ({n}) % 16 < 0 THEN 16 ELSE 0 END < 8 THEN ({n}) % 16 + CASE WHEN ({n}) % 16 < 0 THEN 16 ELSE 0 END ELSE 15 - (({n}) % 16 + CASE WHEN ({n}) % 16 < 0 THEN 16 ELSE 0 END) END"
+
+
+@query(f"""WITH {PX}, d AS (SELECT unnest([-1, 0, 1]) AS d),
+    near AS (SELECT p.vec_id, p.y, p.x, a.d AS dy, b.d AS dx, n.v FROM px p, d a, d b JOIN px n ON n.vec_id = p.vec_id AND n.y = greatest(0, least(7, p.y + a.d)) AND n.x = greatest(0, least(7, p.x + b.d))),
+    grad AS (SELECT vec_id, y, x, CAST(sum(v * dy * (2 - abs(dx))) AS DOUBLE) AS gy, CAST(sum(v * dx * (2 - abs(dy))) AS DOUBLE) AS gx FROM near GROUP BY ALL),
+    m AS (SELECT vec_id, y, x, gy * gy + gx * gx AS m FROM grad),
+    k AS (SELECT unnest(range(-8, 9)) AS o), w AS (SELECT o, exp(-0.125 * o * o) / (SELECT sum(exp(-0.125 * o * o)) FROM k) AS w FROM k),
+    fold AS (SELECT i, j, sum(w) AS w FROM (SELECT i, {_mirrored('i + o')} AS j, w FROM (SELECT unnest(range(8)) AS i), w) GROUP BY ALL),
+    down AS (SELECT vec_id, f.i AS y, x, sum(m.m * f.w) AS m FROM m JOIN fold f ON m.y = f.j GROUP BY ALL),
+    focus AS (SELECT vec_id, y, f.i AS x, sum(down.m * f.w) AS f FROM down JOIN fold f ON down.x = f.j GROUP BY ALL),
+    share AS (SELECT stack, t, c, px.y, px.x, v, f, sum(f) OVER (PARTITION BY stack, t, c, px.y, px.x) + 1e-9 AS total FROM px JOIN focus ON focus.vec_id = px.vec_id AND focus.y = px.y AND focus.x = px.x)
+    SELECT stack, t, c, y, x, CAST(floor(round(least(65535.0::DOUBLE, greatest(0.0::DOUBLE, sum(v * (f / total)))), 4)) AS INT) AS v FROM share GROUP BY stack, t, c, y, x""")
+def osbm(spark, sf_dir):
+    return images.exploded(images.project_focus(planes(spark, sf_dir), digits=4), "stack", "t", "c")
 
 
-@query(f"""WITH {PX}, flat AS (SELECT y, x, 100 AS dark, CAST(floor(avg(v)) AS INT) AS flat FROM px GROUP BY y, x), mean AS (SELECT avg(flat - dark) AS m FROM flat)
-    SELECT t, c, z, y, x, CAST(floor(least(65535.0::DOUBLE, greatest(0.0::DOUBLE, (v - dark) * CASE WHEN flat = dark THEN 0.0::DOUBLE ELSE m / (flat - dark) END))) AS INT) AS v
-    FROM px JOIN flat USING (y, x), mean""")
+@query(f"""WITH {PX}, flat AS (SELECT acquisition, c, y, x, 100 AS dark, CAST(floor(avg(v)) AS INT) AS flat FROM px WHERE NOT (acquisition = 1 AND c = 1) GROUP BY ALL), mean AS (SELECT acquisition, c, avg(flat - dark) AS m FROM flat GROUP BY ALL)
+    SELECT stack, t, c, z, y, x, CASE WHEN dark IS NULL THEN v ELSE CAST(floor(least(65535.0::DOUBLE, greatest(0.0::DOUBLE, (v - dark) * CASE WHEN flat = dark THEN 0.0::DOUBLE ELSE m / (flat - dark) END))) AS INT) END AS v
+    FROM px LEFT JOIN flat USING (acquisition, c, y, x) LEFT JOIN mean USING (acquisition, c)""")
 def flatfield(spark, sf_dir):
-    pixels = px(spark, sf_dir)
-    flat = pixels.groupBy("y", "x").agg(F.lit(100).alias("dark"), F.floor(F.avg("v")).cast("int").alias("flat"))
-    return images.flat_field(pixels, flat)
+    px, keys = planes(spark, sf_dir), ["acquisition", "c"]
+    flat = images.mean_planes(px.where("NOT (acquisition = 1 AND c = 1)"), keys)  # the second acquisition's second channel has no reference
+    dark = images.each_plane(flat, lambda r: [r | {"px": (100).to_bytes(2, "little") * (r["h"] * r["w"])}], "acquisition int, c int, h int, w int, px binary")
+    return images.exploded(images.correct(px, images.references(dark, flat, keys), keys), *ALL)
+
+
+@query(f"WITH {PX} SELECT acquisition, c, y, x, CAST(floor(avg(v)) AS INT) AS v FROM px GROUP BY ALL")
+def mean_plane(spark, sf_dir):
+    return images.exploded(images.mean_planes(planes(spark, sf_dir), ["acquisition", "c"]), "acquisition", "c")
 
 
 _RAMP = "CASE WHEN 8 - {0} <= 2 THEN (8 - {0}) / 3.0::DOUBLE WHEN {0} < 2 THEN ({0} + 1) / 3.0::DOUBLE ELSE 1.0::DOUBLE END"
 
 
-@query(f"""WITH {PX}, tile AS (SELECT t // 4 AS t, c, z, CAST(t % 4 // 2 AS INT) AS ty, CAST(t % 2 AS INT) AS tx, y, x, v, {_RAMP.format('y')} * {_RAMP.format('x')} AS w FROM px)
-    SELECT CAST(t AS INT) AS t, c, z, CAST(ty * 6 + y AS INT) AS y, CAST(tx * 6 + x AS INT) AS x,
-        CAST(floor(round(least(65535.0::DOUBLE, greatest(0.0::DOUBLE, sum(v * w) / greatest(sum(w), 1e-9))), 6)) AS INT) AS v FROM tile GROUP BY ALL""")
+@query(f"""WITH {PX}, tile AS (SELECT stack, CAST(t // 4 AS INT) AS t, c, z, CAST(t % 4 // 2 AS INT) AS gy, CAST(t % 2 AS INT) AS gx, y, x, v, {_RAMP.format('y')} * {_RAMP.format('x')} AS w FROM px),
+    grid AS (SELECT stack, t, c, z, unnest(range(14)) AS y FROM (SELECT DISTINCT stack, t, c, z FROM tile)), whole AS (SELECT stack, t, c, z, CAST(y AS INT) AS y, CAST(unnest(range(14)) AS INT) AS x FROM grid),
+    mean AS (SELECT stack, t, c, z, CAST(gy * 6 + y AS INT) AS y, CAST(gx * 6 + x AS INT) AS x, sum(v * w) / greatest(sum(w), 1e-9) AS m FROM tile GROUP BY stack, t, c, z, gy * 6 + y, gx * 6 + x)
+    SELECT stack, t, c, z, y, x, CAST(floor(round(least(65535.0::DOUBLE, greatest(0.0::DOUBLE, coalesce(m, 0))), 6)) AS INT) AS v FROM whole LEFT JOIN mean USING (stack, t, c, z, y, x)""")
 def stitch_feather(spark, sf_dir):
-    tiles = px(spark, sf_dir).selectExpr("CAST(t div 4 AS INT) AS t", "c", "z", "CAST(t % 4 div 2 AS INT) AS ty", "t % 2 AS tx", "y", "x", "v")
-    return images.stitch(tiles, 8, 8, 2)
+    # The last mosaic of a stack has one tile of four: the rest of it stays 0.
+    tiles = planes(spark, sf_dir).withColumns({"gy": F.expr("CAST(t % 4 div 2 AS INT)"), "gx": F.col("t") % 2, "t": F.expr("CAST(t div 4 AS INT)"), "overlap": F.lit(2)})
+    return images.exploded(images.stitch(tiles, digits=6), *ALL)
 
 
 @query(f"""WITH {PX}, lv AS (SELECT unnest([0, 1, 2]) AS level)
-    SELECT t, c, z, CAST(y // (1 << level) AS INT) AS y, CAST(x // (1 << level) AS INT) AS x, v, CAST(level AS INT) AS level FROM px, lv WHERE y % (1 << level) = 0 AND x % (1 << level) = 0""")
+    SELECT stack, t, c, z, CAST(y // (1 << level) AS INT) AS y, CAST(x // (1 << level) AS INT) AS x, v, CAST(level AS INT) AS level FROM px, lv WHERE y % (1 << level) = 0 AND x % (1 << level) = 0""")
 def pyramid(spark, sf_dir):
-    return images.pyramid(px(spark, sf_dir), 3)
+    return images.exploded(images.pyramid(planes(spark, sf_dir), 3, 2), *ALL, "level")
+
+
+@query(f"WITH {PX} SELECT stack, t, c, z, CAST(y // 4 AS INT) AS y, CAST(x // 4 AS INT) AS x, v FROM px WHERE y % 4 = 0 AND x % 4 = 0")
+def decimate(spark, sf_dir):
+    return images.exploded(images.decimate(planes(spark, sf_dir), 2), *ALL)
 
 
-@query(f"WITH {PX} SELECT t, c, z, CAST(y // 3 AS INT) AS y, CAST(x // 3 AS INT) AS x, CAST(floor(avg(v)) AS INT) AS v FROM px WHERE y < 6 AND x < 6 GROUP BY ALL")
+@query(f"WITH {PX} SELECT stack, t, c, z, CAST(y // 3 AS INT) AS y, CAST(x // 3 AS INT) AS x, CAST(floor(avg(v)) AS INT) AS v FROM px WHERE y < 6 AND x < 6 GROUP BY ALL")
 def block_mean(spark, sf_dir):
-    return images.block_mean(px(spark, sf_dir), 3, 8, 8)
+    return images.exploded(images.block_mean(planes(spark, sf_dir), 3), *ALL)
 
 
 @query("SELECT p_partkey, CAST(1 + (CASE WHEN p_size >= 8 THEN 1 ELSE 0 END) + (CASE WHEN p_size >= 16 THEN 1 ELSE 0 END) + (CASE WHEN p_size >= 32 THEN 1 ELSE 0 END) AS INT) AS levels FROM part")
 def level_count(spark, sf_dir):
     size = F.col("p_size") * 4
-    return table(spark, sf_dir, "part").select("p_partkey", images.level_count(size, size).alias("levels"))
+    return table(spark, sf_dir, "part").select("p_partkey", ngff.level_count(size, size).alias("levels"))
 
 
-_WINDOW = "win AS (SELECT c, round(quantile_cont(v, 0.01), 6) AS lo, round(quantile_cont(v, 0.99), 6) AS hi FROM px GROUP BY c)"
+_WINDOW = "win AS (SELECT stack, c, round(quantile_cont(v, 0.01), 6) AS lo, round(quantile_cont(v, 0.99), 6) AS hi FROM px GROUP BY ALL)"
 
 
-@query(f"WITH {PX}, {_WINDOW} SELECT c, lo, hi FROM win")
+@query(f"WITH {PX}, {_WINDOW} SELECT stack, c, lo, hi FROM win")
 def percentile_window(spark, sf_dir):
-    return images.display_window(px(spark, sf_dir))
+    return images.display_window(planes(spark, sf_dir))
 
 
-@query(f"WITH {PX}, {_WINDOW} SELECT t, c, y, x, z, CAST(floor(round(least(255.0::DOUBLE, greatest(0.0::DOUBLE, (v - lo) / greatest(hi - lo, 1.0::DOUBLE) * 255)), 6)) AS INT) AS v FROM px JOIN win USING (c)")
+@query(f"""WITH {PX}, picked AS (SELECT * FROM px WHERE t IN (SELECT CAST(floor(j * 24 / 7) AS INT) FROM (SELECT unnest(range(8)) AS j)))
+    SELECT stack, c, round(quantile_cont(v, 0.005), 6) AS lo, round(quantile_cont(v, 0.995), 6) AS hi FROM picked GROUP BY ALL""")
+def percentile_subsample(spark, sf_dir):
+    px = planes(spark, sf_dir)
+    frames = records.subsample(px.select("stack", "t").distinct(), ["stack"], ["t"], most=8)
+    return images.display_window(px.join(frames, ["stack", "t"], "left_semi"), low=0.005, high=0.995)
+
+
+@query(f"WITH {PX}, {_WINDOW} SELECT stack, t, c, z, y, x, CAST(floor(round(least(255.0::DOUBLE, greatest(0.0::DOUBLE, (v - lo) / greatest(hi - lo, 1.0::DOUBLE) * 255)), 6)) AS INT) AS v FROM px JOIN win USING (stack, c)")
 def stretch8(spark, sf_dir):
-    pixels = px(spark, sf_dir)
-    return images.stretch8(pixels, images.display_window(pixels))
+    px = planes(spark, sf_dir)
+    return images.exploded(images.stretch8(px, images.display_window(px), digits=6), *ALL)
+
+
+@query(f"WITH {PX} SELECT stack, c, v, count(*) AS n FROM px GROUP BY ALL")
+def value_counts(spark, sf_dir):
+    return images.value_counts(planes(spark, sf_dir))
+
+
+@query(f"WITH {PX} SELECT stack, count(DISTINCT t) AS size_t, count(DISTINCT c) AS size_c, count(DISTINCT z) AS size_z, CAST(8 AS INT) AS h, CAST(8 AS INT) AS w FROM px GROUP BY ALL")
+def stack_shapes(spark, sf_dir):
+    return images.stack_shapes(planes(spark, sf_dir))
+
+
+@query("SELECT vec_id FROM embeddings WHERE vec_id % 7 <> 0 OR vec_id % 250 = 0")
+def valid_frames(spark, sf_dir):
+    odd = F.expr("vec_id % 7 = 0 AND vec_id % 250 <> 0")  # every seventh plane but a stack's first has another shape
+    px = planes(spark, sf_dir).withColumn("h", F.when(odd, 4).otherwise(F.col("h"))).withColumn("w", F.when(odd, 16).otherwise(F.col("w")))
+    return images.valid_frames(px).select("vec_id")
+
+
+# Image files: what is written reads back
+
+
+def _coded(compression: str) -> Query:
+    def run(spark, sf_dir):
+        def there_and_back(row: dict) -> list[dict]:
+            page = images.pixels_of(row)
+            data = tiff.recompressed(tiff.encode(page, "none", big=row["z"] % 2 == 0), compression)
+            return [row | {"px": tiff.decode(data).astype("<u2").tobytes()}]
+
+        px = planes(spark, sf_dir).select(*images.PLANE)
+        return images.exploded(images.each_plane(px, there_and_back, "stack int, t int, c int, z int, h int, w int, px binary"), *ALL)
+
+    return run
+
+
+for _name in recompress.COMPRESSIONS:
+    QUERIES[f"tiff_{_name}"] = (_coded(_name), f"WITH {PX} SELECT stack, t, c, z, y, x, v FROM px")
+
+
+def _stack_meta(px: DataFrame) -> DataFrame:
+    sizes = F.create_map(F.lit("T"), F.col("size_t"), F.lit("C"), F.col("size_c"), F.lit("Z"), F.col("size_z"))
+    channels = F.transform(F.sequence(F.lit(1), F.col("size_c").cast("int")), lambda i: F.struct(F.concat(F.lit("Channel_"), i.cast("string")).alias("Name")))
+    meta = F.struct(sizes.alias("sizes"), F.lit(0.65).alias("PhysicalSizeY"), F.lit(0.65).alias("PhysicalSizeX"), channels.alias("Channels"), F.concat(F.lit("A"), F.col("stack").cast("string")).alias("WellID"), F.lit("2D").alias("Action"), F.lit(True).alias("Stitched"))
+    return images.stack_shapes(px).select("stack", F.to_json(meta).alias("meta"))
+
+
+def _out(spark: SparkSession, name: str) -> str:
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"WITH {PX} SELECT CAST(stack AS VARCHAR) || '.ome.tif' AS name, CAST(row_number() OVER (PARTITION BY stack, y, x ORDER BY t, c, z) - 1 AS INT) AS page, y, x, v FROM px")
+def ome_tiff_round_trip(spark, sf_dir):
+    px, out = planes(spark, sf_dir).select(*images.PLANE), _out(spark, "ome-tiff")
+    materialize(writers.write_ome_tiffs(px, _stack_meta(px), out, "zlib"), "written")
+    read = tiff.read_tiffs(spark, out, "*.ome.tif", recursive=False, every=True)
+    return images.exploded(read.withColumn("name", names.file_name(F.col("path"))), "name", "page")
+
+
+@query("SELECT CAST(vec_id // 250 AS VARCHAR) || '.ome.tif' AS name, 'ome' AS kind, 'TCZYX' AS axes, '25,2,5,8,8' AS sizes FROM embeddings GROUP BY vec_id // 250")
+def ome_tiff_metadata(spark, sf_dir):
+    px, out = planes(spark, sf_dir).select(*images.PLANE), _out(spark, "ome-tiff")
+    materialize(writers.write_ome_tiffs(px, _stack_meta(px), out, "none"), "written")
+    read = tiff.read_metadata(spark, out, "*.ome.tif")
+    return read.select(names.file_name(F.col("path")).alias("name"), "kind", "axes", F.array_join(F.transform("sizes", lambda x: x.cast("string")), ",").alias("sizes"))
+
+
+@query(f"WITH {PX} SELECT t, c, z, y, x, v FROM px WHERE stack = (SELECT max(stack) FROM px)")
+def ome_zarr_round_trip(spark, sf_dir):
+    px, out = planes(spark, sf_dir).select(*images.PLANE), _out(spark, "ome-zarr")
+    done = materialize(writers.write_ome_zarrs(px, _stack_meta(px), out, materialize), "written")
+    last = done.agg(F.max_by("path", F.col("stack").cast("int"))).first()[0]
+    return images.exploded(writers.read_zarr_planes(spark, last), "t", "c", "z")
+
+
+@query("SELECT CAST(vec_id // 250 AS VARCHAR) || '.ome.zarr' AS rel_path, 'A' || (vec_id // 250) AS well, '2D' AS action, true AS stitched, 'TCZYX=25×2×5×8×8' AS shape, '<u2' AS dtype, CAST(1 AS INT) AS n_levels, 'Channel_1,Channel_2' AS channels FROM embeddings GROUP BY vec_id // 250")
+def ome_zarr_catalog(spark, sf_dir):
+    px, out = planes(spark, sf_dir).select(*images.PLANE), _out(spark, "ome-zarr")
+    materialize(writers.write_ome_zarrs(px, _stack_meta(px), out, materialize), "written")
+    rows = catalog.read_catalog(spark, out)
+    return rows.select("rel_path", "well", "action", "stitched", names.shape_label(F.col("axes"), F.col("shape")).alias("shape"), "dtype", "n_levels", F.array_join("channel_names", ",").alias("channels"))
+
+
+@query(f"""WITH {PX}, win AS (SELECT stack, round(quantile_cont(v, 0.005), 6) AS lo, round(quantile_cont(v, 0.995), 6) AS hi FROM px WHERE z = 0 AND c = 0 AND t IN (SELECT CAST(floor(j * 24 / 23) AS INT) FROM (SELECT unnest(range(24)) AS j)) GROUP BY ALL),
+    s AS (SELECT stack, t, y, x, floor(round(least(255.0::DOUBLE, greatest(0.0::DOUBLE, (v - lo) / greatest(hi - lo, 1.0::DOUBLE) * 255)), 6)) AS v FROM px JOIN win USING (stack) WHERE z = 0 AND c = 0)
+    SELECT CAST(stack AS VARCHAR) AS stem, t AS frame, CAST(sum(v) AS BIGINT) // 64 BETWEEN 0 AND 255 AS plausible, CAST(4 AS INT) AS h, CAST(4 AS INT) AS w FROM s GROUP BY stack, t""")
+def preview_frames(spark, sf_dir):
+    px, out = planes(spark, sf_dir).where("c = 0 AND z = 0").select(*images.PLANE), _out(spark, "films")
+    materialize(writers.write_ome_tiffs(px, _stack_meta(px), out, "zlib"), "written")
+    frames = previews.preview_frames(previews.films(spark, out))
+    return frames.select("stem", "frame", (F.length("px") == F.col("h") * F.col("w")).alias("plausible"), "h", "w")
+
+
+@query("""SELECT source, count(*) AS processed, count(*) AS succeeded, CAST(0 AS BIGINT) AS failed, CAST(sum(n_chars) AS BIGINT) AS size_in, CAST(sum(length(text)) AS BIGINT) AS size_out,
+    round((1 - sum(length(text)) / greatest(sum(n_chars), 1)::DOUBLE) * 100, 6) AS reduction, true AS ok FROM documents GROUP BY source""")
+def compress_summary(spark, sf_dir):
+    jobs = table(spark, sf_dir, "documents").select("source", F.lit(True).alias("success"), F.col("n_chars").alias("input_size"), F.length("text").alias("output_size"))
+    return records.job_summary(jobs, ["source"]).withColumn("reduction", F.round("reduction", 6))
+
+
+@query("SELECT count(*) FILTER (doc_id % 10 <> 0) AS converted, count(*) FILTER (doc_id % 10 = 0) AS errors, CAST(sum(n_chars) FILTER (doc_id % 10 <> 0) AS BIGINT) AS size_in, CAST(sum(length(text) + 1) FILTER (doc_id % 10 <> 0) AS BIGINT) AS size_out, round(sum(n_chars) FILTER (doc_id % 10 <> 0) / sum(length(text) + 1) FILTER (doc_id % 10 <> 0)::DOUBLE, 6) AS ratio FROM documents")
+def preview_totals(spark, sf_dir):
+    error = F.when(F.col("doc_id") % 10 == 0, "broken")  # a made-up outcome for every tenth film
+    results = table(spark, sf_dir, "documents").select(F.col("n_chars").alias("input_size"), (F.length("text") + 1).alias("output_size"), error.alias("error"))
+    return records.preview_totals(results).withColumn("ratio", F.round("ratio", 6))
+
+
+def _zipped(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a ZIP archive for each source: each document a member, with a folder entry and one that macOS adds."""
+    out = _out(spark, "zips")
+
+    def run(rows: list[dict]) -> list[dict]:
+        import io
+        import zipfile
+
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w") as z:
+            z.writestr("docs/", "")
+            z.writestr("__MACOSX/docs/x.tif", "x")
+            for r in sorted(rows, key=lambda r: r["doc_id"]):
+                z.writestr(f"docs/{r['doc_id']}.txt", r["text"] or "")
+        files.write_bytes(f"{out}/{rows[0]['source']}.zip", data.getvalue())
+        return [{"source": rows[0]["source"], "n": len(rows)}]
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    materialize(images.each_group(docs, ["source"], run, "source string, n long"), "zipped")
+    return out
+
+
+@query("SELECT source || '.zip' AS zip, 'docs/' || doc_id || '.txt' AS member, CAST(octet_length(encode(text)) AS BIGINT) AS size, false AS tiff FROM documents")
+def zip_members(spark, sf_dir):
+    found = archives.members(files.list_files(spark, _zipped(spark, sf_dir), "*.zip"))
+    return found.select(names.file_name(F.col("zip")).alias("zip"), "member", "size", "tiff")
+
+
+@query("SELECT source || '.zip' AS input, 'docs/' || doc_id || '.txt' AS member, true AS success, CAST(octet_length(encode(text)) AS BIGINT) AS input_size, CAST(octet_length(encode(text)) AS BIGINT) AS output_size FROM documents")
+def zip_processing(spark, sf_dir):
+    out = _zipped(spark, sf_dir)
+    found = [r["path"] for r in files.list_files(spark, out, "*.zip").select("path").collect()]  # one path a source
+    done = materialize(recompress.process(recompress.jobs(spark, found), f"{out}/out"), "recompressed")
+    return done.select(names.file_name(F.col("input")).alias("input"), "member", "success", "input_size", "output_size")
 
 
 # Times and order
 
+_VALUES = lambda times: "(VALUES " + ", ".join(f"('{x}')" for x in times) + ") AS v(s)"
 
-@query("""WITH s AS (SELECT user_id, event_id, ts, epoch_us(ts) / 1e6 AS s FROM events)
-    SELECT user_id, event_id, round(s - first_value(s) OVER w, 6) AS relative, round(s - lag(s) OVER w, 6) AS "interval" FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
-def time_metadata(spark, sf_dir):
-    return records.frame_times(table(spark, sf_dir, "events"), "user_id", "ts").select("user_id", "event_id", F.round("relative", 6).alias("relative"), F.round("interval", 6).alias("interval"))
 
+@query("""WITH s AS (SELECT user_id, event_id, ts, CASE WHEN event_id % 9 <> 0 THEN epoch_us(ts) / 1e6 END AS s FROM events)
+    SELECT user_id, event_id, round(s - first_value(s IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 6) AS relative, round(s - lag(s) OVER w, 6) AS "interval" FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def frame_times(spark, sf_dir):
+    # Every ninth time can't be read.
+    events = records.with_seconds(table(spark, sf_dir, "events"), "ts").withColumn("s", F.when(F.col("event_id") % 9 != 0, F.col("s")))
+    return records.frame_times(events, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", F.round("relative", 6).alias("relative"), F.round("interval", 6).alias("interval"))
 
-@query("""WITH s AS (SELECT user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d FROM events)
-    SELECT user_id, median(d) AS median_us FROM s GROUP BY user_id""")
-def frame_median(spark, sf_dir):
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    events = table(spark, sf_dir, "events").select("user_id", (micros - F.lag(micros).over(Window.partitionBy("user_id").orderBy("ts", "event_id"))).alias("d"))
-    return events.groupBy("user_id").agg(F.median("d").alias("median_us"))
+
+@query("""WITH s AS (SELECT user_id, event_id, ts, CASE WHEN event_id % 9 <> 0 THEN epoch_us(ts) / 1e6 END AS s FROM events),
+    d AS (SELECT user_id, s, s - lag(s) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d FROM s)
+    SELECT user_id, count(*) AS frames, count(d) AS intervals, round(median(d), 5) AS time_increment, round(CASE WHEN median(d) > 0 THEN 1 / median(d) END, 9) AS framerate_hz FROM d GROUP BY user_id HAVING count(s) >= 2""")
+def time_metadata(spark, sf_dir):
+    events = records.with_seconds(table(spark, sf_dir, "events"), "ts").withColumn("s", F.when(F.col("event_id") % 9 != 0, F.col("s")))
+    timed = records.frame_times(events, ["user_id"], ["ts", "event_id"])
+    rows = records.time_metadata(timed, ["user_id"], ["ts", "event_id"])
+    return rows.select("user_id", F.size("relative_times").cast("long").alias("frames"), F.size("frame_intervals").cast("long").alias("intervals"), F.round("time_increment", 5).alias("time_increment"), F.round("framerate_hz", 9).alias("framerate_hz"))
 
 
-#: Begin times with six and seven digits and different offsets.
-TIMES = ("2023-05-03T13:40:03.160167+02:00", "2023-05-04T14:00:34.0750864+02:00", "2023-05-02T14:54:15.0845387+02:00", "2023-05-02T14:54:15.0845380+02:00", "2023-05-02T22:00:00+00:00", "2023-05-02T23:30:00+02:00")
-_TIMES = "(VALUES " + ", ".join(f"('{x}')" for x in TIMES) + ") AS v(s)"
+#: Own times with six to nine digits and several offsets.
+TIMES = ("2024-11-05T08:15:30.250000001+01:00", "2024-11-05T08:15:30.25000000+01:00", "2024-11-05T07:15:30.2500001+00:00", "2024-11-05T09:15:30.249999+03:00", "2024-11-05T01:00:00.5+00:00", "2024-11-04T23:30:00+00:00")
+MIXED = ("2024-11-05T08:00:00", "2024-11-05T07:30:00+05:00", "2024-11-05T09:00:00")
 
 
-@query(rf"""WITH v AS (SELECT s, CAST(regexp_replace(s, '(\.\d{{6}})\d+', '\1') AS TIMESTAMPTZ) AS i, CAST(rpad(regexp_extract(s, '\.\d{{6}}(\d{{1,3}})', 1), 3, '0') AS INT) AS r FROM {_TIMES})
+@query(rf"""WITH v AS (SELECT s, CAST(regexp_replace(s, '(\.\d{{6}})\d+', '\1') AS TIMESTAMPTZ) AS i, coalesce(TRY_CAST(rpad(regexp_extract(s, '\.\d{{6}}(\d{{1,3}})', 1), 3, '0') AS INT), 0) AS r FROM {_VALUES(TIMES)})
     SELECT s, CAST(row_number() OVER (ORDER BY i, r, s) - 1 AS INT) AS rank FROM v""")
 def chrono_rank(spark, sf_dir):
     return records.chronological(spark.createDataFrame([(x,) for x in TIMES], "s string"), "s")
 
 
-@query("SELECT s, CAST(row_number() OVER (ORDER BY s) - 1 AS INT) AS rank FROM (VALUES ('b'), ('a'), ('not-a-date')) AS v(s)")
+@query(f"SELECT s, CAST(row_number() OVER (ORDER BY s) - 1 AS INT) AS rank FROM {_VALUES(('later', 'early', '2024-11-05T08:00:00+00:00'))}")
 def chrono_fallback(spark, sf_dir):
-    return records.chronological(spark.createDataFrame([("b",), ("a",), ("not-a-date",)], "s string"), "s")
+    return records.chronological(spark.createDataFrame([("later",), ("early",), ("2024-11-05T08:00:00+00:00",)], "s string"), "s")
+
+
+@query(f"SELECT s, CAST(row_number() OVER (ORDER BY s) - 1 AS INT) AS rank FROM {_VALUES(MIXED)}")
+def chrono_mixed(spark, sf_dir):
+    return records.chronological(spark.createDataFrame([(x,) for x in MIXED], "s string"), "s")
+
 
+@query("SELECT acquisition, CAST(row_number() OVER (ORDER BY begin_time) - 1 AS INT) AS rank FROM (SELECT CAST(strftime(ts, '%Y%m%d') AS INT) AS acquisition, min(ts) AS begin_time FROM events GROUP BY 1)")
+def acquisition_rank(spark, sf_dir):
+    begin = records.begin_times(rec(spark, sf_dir)).withColumn("s", F.date_format("begin_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    return records.chronological(begin, "s").select("acquisition", "rank")
 
-@query("SELECT n FROM (SELECT CAST(s AS TIMESTAMPTZ) AS i, count(*) AS n FROM (VALUES ('2023-05-02T12:00:00+00:00'), ('2023-05-02T14:00:00+02:00'), ('2023-05-02T15:00:00+02:00')) AS v(s) GROUP BY 1) WHERE n > 1")
+
+@query("SELECT n FROM (SELECT date_trunc('day', ts) AS d, count(*) AS n FROM events GROUP BY 1) WHERE n > 1")
 def dup_begin(spark, sf_dir):
-    return records.duplicate_instants(spark.createDataFrame([("2023-05-02T12:00:00+00:00",), ("2023-05-02T14:00:00+02:00",), ("2023-05-02T15:00:00+02:00",)], "s string"), "s")
+    begin = table(spark, sf_dir, "events").select(F.date_format(F.date_trunc("day", "ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("s"), "event_id")
+    # One instant written with two offsets.
+    moved = F.when(F.col("event_id") % 2 == 0, F.concat("s", F.lit("+00:00"))).otherwise(F.date_format(F.to_timestamp("s") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss'+02:00'"))
+    return records.duplicate_instants(begin.select(moved.alias("s")), "s")
+
+
+@query("SELECT c_custkey, CAST(c_custkey % 100 AS INT) AS done, CAST(100 AS INT) AS total, '00:0' || (c_custkey % 10) AS elapsed, '00:15' AS eta FROM customer")
+def progress_line(spark, sf_dir):
+    line = F.format_string("work: %d/100 [00:0%d<00:15, 2.0it/s]", F.col("c_custkey") % 100, F.col("c_custkey") % 10)
+    return table(spark, sf_dir, "customer").select("c_custkey", times.progress(line).alias("p")).select("c_custkey", "p.*")
 
 
 # Grouping and validation
 
 
 def _stacks(alone: str) -> str:
-    return f"""WITH {REC}, k AS (SELECT "row", "column", CASE WHEN tile_x_index IS NULL THEN 'field' ELSE 'tile' END AS kind,
-        CASE WHEN tile_x_index IS NULL THEN field_index ELSE partial_tile_index END AS position, action, CASE WHEN {alone} THEN acquisition END AS split_acq FROM rec)
-        SELECT "row", "column", kind, position, action, split_acq, count(*) AS n FROM k WHERE position IS NOT NULL GROUP BY "row", "column", kind, position, action, split_acq"""
+    return f"WITH {REC}, {KEYED % alone} SELECT {STACK_SQL}, count(*) AS n FROM keyed GROUP BY {STACK_SQL}"
+
+
+_ALONE = "lower(trim(action)) IN ('purchase', 'view')"
+
+
+def _int_split(df: DataFrame) -> DataFrame:
+    return df.withColumn("split_acq", F.col("split_acq").cast("int"))
 
 
 @query(_stacks("false"))
 def fieldstack_groups(spark, sf_dir):
-    return records.fieldstacks(rec(spark, sf_dir)).withColumn("split_acq", F.col("split_acq").cast("int"))
+    return _int_split(records.fieldstacks(rec(spark, sf_dir)))
 
 
-@query(_stacks("lower(trim(action)) IN ('purchase', 'view')"))
+@query(_stacks(_ALONE))
 def nomerge_split(spark, sf_dir):
-    return records.fieldstacks(rec(spark, sf_dir), ["Purchase", "view "])
+    return _int_split(records.fieldstacks(rec(spark, sf_dir), ["Purchase", "view "]))
+
+
+@query(f"""WITH {REC} SELECT "row", "column", 'field' AS kind, field_index AS position, timeline_index, action_index, action, CAST(NULL AS INT) AS split_acq, count(*) AS n FROM rec GROUP BY ALL""")
+def per_field_groups(spark, sf_dir):
+    return _int_split(records.fieldstacks(rec(spark, sf_dir), tile_mode="per-field"))
 
 
 @query(f"WITH {REC} SELECT tile_x_index IS NOT NULL AS tiled, count(*) AS n FROM rec GROUP BY 1")
 def tiled_split(spark, sf_dir):
-    return rec(spark, sf_dir).groupBy(F.col("tile_x_index").isNotNull().alias("tiled")).agg(F.count("*").alias("n"))
+    a, b = records.tiled_part(rec(spark, sf_dir))
+    return a.select(F.lit(True).alias("tiled")).unionAll(b.select(F.lit(False).alias("tiled"))).groupBy("tiled").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {REC} SELECT event_id FROM rec WHERE CASE WHEN tile_x_index IS NULL THEN field_index ELSE partial_tile_index END IS NULL")
+def dropped_records(spark, sf_dir):
+    """Records that no stack takes, as they have no position."""
+    all_ = rec(spark, sf_dir)
+    return all_.join(records.stack_keys(all_).select("event_id"), "event_id", "left_anti").select("event_id")
+
+
+_COMPLETE = f"""WITH {REC}, {KEYED % _ALONE}, per AS (SELECT {STACK_SQL}, acquisition, count(DISTINCT z_index) AS z FROM keyed GROUP BY {STACK_SQL}, acquisition),
+    depth AS (SELECT {STACK_SQL}, max(z) AS z FROM per GROUP BY {STACK_SQL}),
+    k AS (SELECT {STACK_SQL}, count(*) AS n, count(DISTINCT (acquisition, time_point)) AS t, count(DISTINCT ch) AS c, CASE WHEN kind = 'tile' THEN count(DISTINCT (tile_x_index, tile_y_index)) ELSE 1 END AS tiles FROM keyed GROUP BY {STACK_SQL}),
+    full_ AS (SELECT k.*, depth.z FROM k JOIN depth ON k."row" = depth."row" AND k."column" = depth."column" AND k.kind = depth.kind AND k.position = depth.position AND k.timeline_index = depth.timeline_index
+        AND k.action_index = depth.action_index AND k.action = depth.action AND k.split_acq IS NOT DISTINCT FROM depth.split_acq)"""
 
 
-@query(f"""WITH {REC}, k AS (SELECT "row", "column", action, count(*) AS n, count(DISTINCT (acquisition, time_point)) AS t, count(DISTINCT ch) AS c, count(DISTINCT z_index) AS z FROM rec GROUP BY ALL)
-    SELECT *, CAST(t * c * z AS BIGINT) AS expected, n = t * c * z AS complete FROM k""")
+@query(f"{_COMPLETE} SELECT {STACK_SQL}, n, t, c, z, CAST(tiles AS BIGINT) AS tiles, CAST(t * c * z * tiles AS BIGINT) AS expected, n = t * c * z * tiles AS complete FROM full_")
 def stack_completeness(spark, sf_dir):
-    return records.completeness(rec(spark, sf_dir), ["row", "column", "action"])
+    return _int_split(records.completeness(records.stack_keys(rec(spark, sf_dir), ["Purchase", "view "])))
 
 
-def _same(column: str) -> str:
-    return f"""WITH {REC}, s AS (SELECT "row", "column", action, acquisition, list_sort(list(DISTINCT {column})) AS s FROM rec GROUP BY ALL)
-        SELECT "row", "column", action, count(DISTINCT s) = 1 AS same FROM s GROUP BY ALL"""
+_SETS = f"WITH {REC}, {KEYED % _ALONE}, s AS (SELECT {STACK_SQL}, acquisition, list_sort(list(DISTINCT ch)) AS s, count(DISTINCT z_index) AS z FROM keyed GROUP BY {STACK_SQL}, acquisition)"
 
 
-@query(_same("ch"))
+@query(f"{_SETS} SELECT {STACK_SQL}, count(DISTINCT s) = 1 AS same FROM s GROUP BY {STACK_SQL}")
 def channel_consistency(spark, sf_dir):
-    return records.consistent(rec(spark, sf_dir), ["row", "column", "action"], "ch")
+    return _int_split(records.equal_channels(records.stack_keys(rec(spark, sf_dir), ["Purchase", "view "])))
 
 
-@query(_same("z_index"))
+@query(f"{_SETS} SELECT {STACK_SQL}, min(z) = max(z) AS same FROM s GROUP BY {STACK_SQL}")
 def z_consistency(spark, sf_dir):
-    return records.consistent(rec(spark, sf_dir), ["row", "column", "action"], "z_index")
+    return _int_split(records.equal_depths(records.stack_keys(rec(spark, sf_dir), ["Purchase", "view "])))
+
+
+@query(f"""{_COMPLETE}, s AS (SELECT {STACK_SQL}, acquisition, list_sort(list(DISTINCT ch)) AS s, count(DISTINCT z_index) AS z FROM keyed GROUP BY {STACK_SQL}, acquisition),
+    same AS (SELECT {STACK_SQL}, count(DISTINCT s) = 1 AS channels, min(z) = max(z) AS depths FROM s GROUP BY {STACK_SQL})
+    SELECT CASE WHEN NOT channels THEN 'channels' WHEN NOT depths THEN 'depths' ELSE 'planes' END AS why, count(*) AS n FROM full_ JOIN same
+    ON full_."row" = same."row" AND full_."column" = same."column" AND full_.kind = same.kind AND full_.position = same.position AND full_.timeline_index = same.timeline_index
+        AND full_.action_index = same.action_index AND full_.action = same.action AND full_.split_acq IS NOT DISTINCT FROM same.split_acq
+    WHERE NOT channels OR NOT depths OR n <> t * c * full_.z * tiles GROUP BY 1""")
+def stack_problems(spark, sf_dir):
+    found = records.stack_problems(records.stack_keys(rec(spark, sf_dir), ["Purchase", "view "]))
+    why = F.when(F.contains("reason", F.lit("channels")), "channels").when(F.contains("reason", F.lit("slices")), "depths").otherwise("planes")
+    return found.groupBy(why.alias("why")).agg(F.count("*").alias("n"))
+
+
+_BY = STACK_SQL
+
+
+@query(f"""WITH {REC}, {KEYED % 'false'} SELECT event_id, CAST(dense_rank() OVER (PARTITION BY {_BY} ORDER BY acquisition, time_point) - 1 AS INT) AS t, CAST(dense_rank() OVER (PARTITION BY {_BY} ORDER BY ch) - 1 AS INT) AS c,
+    CAST(dense_rank() OVER (PARTITION BY {_BY}, acquisition ORDER BY z_index) - 1 AS INT) AS z FROM keyed""")
+def plane_positions(spark, sf_dir):
+    return records.plane_positions(records.stack_keys(rec(spark, sf_dir))).select("event_id", "t", "c", "z")
+
+
+@query(f"""WITH {REC}, {KEYED % 'false'} SELECT event_id, CAST(dense_rank() OVER (PARTITION BY {_BY} ORDER BY tile_y_index) - 1 AS INT) AS gy, CAST(dense_rank() OVER (PARTITION BY {_BY} ORDER BY tile_x_index) - 1 AS INT) AS gx FROM keyed WHERE kind = 'tile'""")
+def tile_positions(spark, sf_dir):
+    return records.tile_positions(records.stack_keys(rec(spark, sf_dir)).where("kind = 'tile'")).select("event_id", "gy", "gx")
+
+
+@query(f"""WITH {REC}, {KEYED % 'false'} SELECT {_BY}, count(DISTINCT tile_x_index) AS grid_x, count(DISTINCT tile_y_index) AS grid_y, count(DISTINCT (tile_x_index, tile_y_index)) AS tiles FROM keyed WHERE kind = 'tile' GROUP BY {_BY}""")
+def tile_grid(spark, sf_dir):
+    return _int_split(records.tile_grid(records.stack_keys(rec(spark, sf_dir))))
+
+
+@query(f"""WITH {REC}, {KEYED % 'false'}, p AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY {_BY} ORDER BY acquisition, time_point) - 1 AS INT) AS t FROM keyed) SELECT {_BY}, t, min(ts) AS time FROM p GROUP BY {_BY}, t""")
+def earliest_times(spark, sf_dir):
+    return _int_split(records.earliest_times(records.plane_positions(records.stack_keys(rec(spark, sf_dir))), "ts"))
+
+
+@query("""WITH s AS (SELECT user_id, event_id, ts, CASE WHEN event_id % 9 <> 0 THEN epoch_us(ts) / 1e6 END AS s FROM events),
+    f AS (SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INT) AS t, s - first_value(s IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS d, count(s) OVER (PARTITION BY user_id) AS known FROM s)
+    SELECT user_id, t, CAST(c AS INT) AS c, CAST(z AS INT) AS z, round(d, 6) AS delta_t FROM f, (SELECT unnest(range(2)) AS c), (SELECT unnest(range(3)) AS z) WHERE known >= 2""")
+def plane_metadata(spark, sf_dir):
+    events = records.with_seconds(table(spark, sf_dir, "events"), "ts").withColumn("s", F.when(F.col("event_id") % 9 != 0, F.col("s")))
+    rows = records.time_metadata(records.frame_times(events, ["user_id"], ["ts", "event_id"]), ["user_id"], ["ts", "event_id"])
+    stacks = rows.select("user_id", F.size("relative_times").alias("size_t"), F.lit(2).alias("size_c"), F.lit(3).alias("size_z"), "relative_times")
+    return records.plane_metadata(stacks, ["user_id"]).withColumn("delta_t", F.round("delta_t", 6))
 
 
 @query("SELECT page_id, url FROM pages WHERE NOT regexp_matches(lower(url), 'blog\\.|\\.html')".replace("\\\\", "\\"))
@@ -203,14 +487,47 @@ def path_include(spark, sf_dir):
     return records.without_keywords(table(spark, sf_dir, "pages").select("page_id", "url"), "url", ["Blog.", ".html"], keep=True)
 
 
+@query("SELECT page_id FROM pages WHERE NOT contains(lower(url), 'en') AND (contains(lower(url), 'com') OR contains(lower(url), '/de'))")
+def stem_filter(spark, sf_dir):
+    return table(spark, sf_dir, "pages").where(names.stem_kept(F.col("url"), ["EN", ""], ["com", "/de"])).select("page_id")
+
+
 @query(f"WITH {REC} SELECT event_id, action, value FROM rec WHERE action NOT IN ('login', 'logout', 'error')")
 def type_filter(spark, sf_dir):
-    return rec(spark, sf_dir).where(~F.col("action").isin("login", "logout", "error")).select("event_id", "action", "value")
+    kinds = ["view", "click", "purchase", "signup", "add_to_cart", "search"]
+    all_ = rec(spark, sf_dir)
+    rest = [r[0] for r in all_.select("action").distinct().collect() if r[0] not in kinds + ["login", "logout", "error"]]  # a handful of names
+    return records.images_only(all_, "action", kinds + rest).select("event_id", "action", "value")
 
 
 @query(f"WITH {REC} SELECT acquisition, bool_or(tile_x_index IS NOT NULL) AS is_tiled FROM rec GROUP BY acquisition")
 def is_tiled(spark, sf_dir):
-    return rec(spark, sf_dir).groupBy("acquisition").agg(F.bool_or(F.col("tile_x_index").isNotNull()).alias("is_tiled"))
+    return records.tiled_acquisitions(rec(spark, sf_dir))
+
+
+@query("SELECT event_id, CASE WHEN action = 'BF3D' THEN 'keep' ELSE 'maxz' END AS z_mode, NOT contains(action, 'BF') AS corrected FROM (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'BF3D' WHEN 1 THEN 'xBF' WHEN 2 THEN 'bf' ELSE event_type END AS action FROM events)")
+def z_mode_dispatch(spark, sf_dir):
+    action = F.when(F.col("event_id") % 4 == 0, "BF3D").when(F.col("event_id") % 4 == 1, "xBF").when(F.col("event_id") % 4 == 2, "bf").otherwise(F.col("event_type"))
+    rows = table(spark, sf_dir, "events").select("event_id", action.alias("action"))
+    return rows.select("event_id", records.z_mode_of(F.col("action"), "maxz", "keep").alias("z_mode"), records.corrected(F.col("action")).alias("corrected"))
+
+
+@query("""SELECT o_orderkey, concat_ws(',', CASE WHEN coalesce(o_orderstatus, '') IN ('', 'F') THEN 'User' END, CASE WHEN o_orderpriority = '5-LOW' THEN 'Project' END) AS missing FROM orders""")
+def required_fields(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("F")).alias("user"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("project"))
+    return rows.select("o_orderkey", F.array_join(names.missing_fields({"user": "User", "project": "Project"}), ",").alias("missing"))
+
+
+@query("SELECT p_partkey, 'PhysicalSizeX=' || p_size AS standard, 'WellID=' || p_brand AS extra FROM part")
+def metadata_split(spark, sf_dir):
+    meta = F.create_map(F.lit("PhysicalSizeX"), F.col("p_size").cast("string"), F.lit("WellID"), F.col("p_brand"))
+    text = lambda m: F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return table(spark, sf_dir, "part").select("p_partkey", text(ngff.standard_part(meta)).alias("standard"), text(ngff.extra_part(meta)).alias("extra"))
+
+
+@query("SELECT p_partkey, list_filter(list_transform(string_split(replace(p_name, ' ', ' , ,'), ','), lambda x: trim(x)), lambda x: x <> '') AS items FROM part")
+def comma_list(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", names.comma_list(F.replace("p_name", F.lit(" "), F.lit(" , ,"))).alias("items"))
 
 
 # Names
@@ -218,36 +535,101 @@ def is_tiled(spark, sf_dir):
 
 @query(f"WITH {REC} SELECT event_id, chr(64 + \"row\") || printf('%02d', \"column\") AS well FROM rec")
 def well_id(spark, sf_dir):
-    return rec(spark, sf_dir).select("event_id", records.well_id(F.col("row"), F.col("column")).alias("well"))
+    return rec(spark, sf_dir).select("event_id", names.well_id(F.col("row"), F.col("column")).alias("well"))
 
 
 @query(f"""WITH {REC} SELECT event_id, 'plate_' || chr(64 + "row") || printf('%02d', "column") || '_' || (CASE WHEN tile_x_index IS NULL THEN 'F' ELSE 'M' END) || printf('%02d', field_index)
-    || '_L1_A' || z_index || '_' || action || '_' || 60 || 'x' AS name FROM rec""")
+    || '_L' || timeline_index || '_A' || action_index || '_' || action || '_' || (CASE WHEN z_index = 1 THEN 'None' ELSE CAST(z_index * 20 AS VARCHAR) END) || 'x' || (CASE WHEN ch = 1 THEN '_R' || printf('%02d', ch) ELSE '' END) AS name FROM rec""")
 def basename(spark, sf_dir):
     kind = F.when(F.col("tile_x_index").isNull(), "field").otherwise("tile")
-    name = records.basename(F.lit("plate"), F.col("row"), F.col("column"), kind, F.col("field_index"), F.lit(1), F.col("z_index"), F.col("action"), F.lit(60), F.lit(None).cast("int"))
+    power, split = F.when(F.col("z_index") != 1, F.col("z_index") * 20), F.when(F.col("ch") == 1, F.col("ch"))
+    name = names.basename(F.lit("plate"), F.col("row"), F.col("column"), kind, F.col("field_index"), F.col("timeline_index"), F.col("action_index"), F.col("action"), power, split)
     return rec(spark, sf_dir).select("event_id", name.alias("name"))
 
 
 @query(r"""SELECT c_custkey, CASE WHEN regexp_matches(w, '^[A-P]\d{1,2}$') THEN ascii(w) - 64 END AS "row", CASE WHEN regexp_matches(w, '^[A-P]\d{1,2}$') THEN CAST(substr(w, 2) AS INT) END AS "column"
     FROM (SELECT c_custkey, upper(chr(CAST(97 + c_custkey % 20 AS INT)) || CAST(c_nationkey AS VARCHAR)) AS w FROM customer)""")
 def well_parse(spark, sf_dir):
-    w = F.upper(F.concat(F.char(97 + F.col("c_custkey") % 20), F.col("c_nationkey").cast("string")))
-    rows = table(spark, sf_dir, "customer").select("c_custkey", w.alias("w"))
-    good = F.col("w").rlike(r"^[A-P]\d{1,2}$")
-    return rows.select("c_custkey", F.when(good, F.ascii("w") - 64).alias("row"), F.when(good, F.substr("w", F.lit(2))).cast("int").alias("column"))
+    w = F.concat(F.lit(" "), F.char(97 + F.col("c_custkey") % 20), F.col("c_nationkey").cast("string"), F.lit("  "))
+    return table(spark, sf_dir, "customer").select("c_custkey", names.well_row(w).alias("row"), names.well_column(w).alias("column"))
 
 
 @query(f"""WITH {REC}, m AS (SELECT max("row") AS r, max("column") AS c FROM rec)
     SELECT CASE WHEN r <= 8 AND c <= 12 THEN 8 ELSE 16 END AS n_rows, CASE WHEN r <= 8 AND c <= 12 THEN 12 ELSE 24 END AS n_cols, CASE WHEN r <= 8 AND c <= 12 THEN '96-well' ELSE '384-well' END AS label FROM m""")
 def plate_detect(spark, sf_dir):
-    return records.plate(rec(spark, sf_dir).select(records.well_id(F.col("row"), F.col("column")).alias("well")))
+    return records.plate(rec(spark, sf_dir).select(names.well_id(F.col("row"), F.col("column")).alias("well")))
 
 
 @query("""WITH RECURSIVE a AS (SELECT DISTINCT event_type AS s FROM events), h AS (SELECT s, 0 AS i, 0::BIGINT AS h FROM a UNION ALL SELECT s, i + 1, (h * 31 + ascii(substr(s, i + 1, 1))) & 4294967295 FROM h WHERE i < length(s))
     SELECT s AS action, CAST(h % 10 AS INT) AS color FROM h WHERE i = length(s)""")
 def action_color(spark, sf_dir):
-    return table(spark, sf_dir, "events").select(F.col("event_type").alias("action")).distinct().select("action", records.action_color(F.col("action")).alias("color"))
+    return table(spark, sf_dir, "events").select(F.col("event_type").alias("action")).distinct().select("action", names.action_color(F.col("action")).alias("color"))
+
+
+@query(r"""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'a' || page_id WHEN page_id % 3 = 1 THEN 'b.' || page_id ELSE 'c' END AS stem FROM pages""")
+def file_stem(spark, sf_dir):
+    name = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("a"), "page_id", F.lit(".ome.tif"))).when(F.col("page_id") % 3 == 1, F.concat(F.lit("b."), "page_id", F.lit(".ome.zarr"))).otherwise(F.lit("c.tif"))
+    return table(spark, sf_dir, "pages").select("page_id", names.stem(name).alias("stem"))
+
+
+@query("SELECT p_partkey, 'TCYX=2×' || p_size || '×' || p_size * 2 || '×16' AS label FROM part")
+def shape_label(spark, sf_dir):
+    shape = F.array(F.lit(2), F.col("p_size"), F.col("p_size") * 2, F.lit(16))
+    return table(spark, sf_dir, "part").select("p_partkey", names.shape_label(F.split(F.lit("tcyx"), ""), shape).alias("label"))
+
+
+@query("SELECT page_id, CASE WHEN starts_with(url, 'https://') THEN 'shown' || substr(url, 7) ELSE url END AS path FROM pages")
+def display_path(spark, sf_dir):
+    # Of https://host/path the part below "https:" is shown below "shown".
+    return table(spark, sf_dir, "pages").select("page_id", names.display_path(F.col("url"), "https:", "shown").alias("path"))
+
+
+@query("""SELECT o_orderkey, substr(sha256('{"priority": "' || o_orderpriority || '", "status": "' || o_orderstatus || '", "title": "caf\\u00e9 \\"x\\"", "user": ' || o_custkey || '}'), 1, 12) AS experiment_id FROM orders""")
+def experiment_id(spark, sf_dir):
+    fields = {"priority": F.col("o_orderpriority"), "status": F.col("o_orderstatus"), "user": F.col("o_custkey"), "title": F.lit('café "x"')}
+    return table(spark, sf_dir, "orders").select("o_orderkey", names.experiment_id(fields, {"priority": "string", "status": "string", "title": "string", "user": "long"}).alias("experiment_id"))
+
+
+@query("""SELECT o_orderkey, concat_ws(' | ', o_orderstatus, nullif(o_orderpriority, '5-LOW')) || CASE WHEN o_totalprice > 100000 THEN ' [multi-day]' ELSE '' END || ' — ' || o_custkey AS label FROM orders""")
+def experiment_label(spark, sf_dir):
+    parts = [F.col("o_orderstatus"), F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(F.col("o_orderpriority"))]
+    return table(spark, sf_dir, "orders").select("o_orderkey", names.experiment_label(parts, F.col("o_totalprice") > 100000, F.col("o_custkey").cast("string")).alias("label"))
+
+
+# Metadata of multiscale arrays
+
+
+@query("SELECT p_partkey, ['t', 'c', 'y', 'x'] AS names, ['time', 'channel', 'space', 'space'] AS types, ['second', NULL, 'micrometer', 'micrometer'] AS units FROM part")
+def ngff_axes(spark, sf_dir):
+    got = ngff.axes_list(F.lit("TCYX"))
+    return table(spark, sf_dir, "part").select("p_partkey", got["name"].alias("names"), got["type"].alias("types"), got["unit"].alias("units"))
+
+
+@query("SELECT p_partkey, [CASE WHEN p_size % 2 = 0 THEN 1.0::DOUBLE ELSE p_size::DOUBLE END, 1.0::DOUBLE, CASE WHEN p_size % 3 = 0 THEN 4.0::DOUBLE ELSE p_size * 4::DOUBLE END, 2.6::DOUBLE] AS scale FROM part")
+def ngff_scale(spark, sf_dir):
+    # An increment that is 0 and a size that is null count as 1.
+    increment, size = F.when(F.col("p_size") % 2 == 0, 0.0).otherwise(F.col("p_size").cast("double")), F.when(F.col("p_size") % 3 != 0, F.col("p_size").cast("double"))
+    return table(spark, sf_dir, "part").select("p_partkey", ngff.scales(F.lit("TCYX"), F.lit(2), size, F.lit(0.65), F.lit(None), increment).alias("scale"))
+
+
+@query("SELECT p_partkey, [CAST(1 AS INT), CAST(1 AS INT), CAST(least(512, p_size * 40) AS INT), CAST(least(512, p_size) AS INT)] AS chunks, [CAST(2 AS INT), CAST(3 AS INT), CAST(p_size * 20 AS INT), CAST(ceil(p_size / 2) AS INT)] AS half FROM part")
+def ngff_chunks(spark, sf_dir):
+    shape = F.array(F.lit(2), F.lit(3), F.col("p_size") * 40, F.col("p_size"))
+    return table(spark, sf_dir, "part").select("p_partkey", ngff.chunk_shape(F.lit("TCYX"), shape).alias("chunks"), ngff.level_shape(F.lit("TCYX"), shape, F.lit(1)).alias("half"))
+
+
+@query(f"WITH {PX}, {_WINDOW} SELECT stack, c, 'Channel_' || c AS label, 'FFFFFF' AS color, 0.0::DOUBLE AS \"min\", 65535.0::DOUBLE AS \"max\", CASE WHEN c = 0 THEN lo ELSE 0.0 END AS \"start\", CASE WHEN c = 0 THEN hi ELSE 65535.0 END AS \"end\", true AS active FROM win")
+def omero_channels(spark, sf_dir):
+    window = images.display_window(planes(spark, sf_dir))
+    known = lambda c: F.when(F.col("c") == 0, F.col(c))
+    got = window.select("stack", "c", ngff.display_channel(F.concat(F.lit("Channel_"), "c"), known("lo"), known("hi")).alias("o"))
+    return got.select("stack", "c", "o.label", "o.color", "o.window.*", "o.active")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'T' ELSE '' END || CASE WHEN p_size > 1 THEN 'Z' ELSE '' END || 'YX' AS axes FROM part")
+def squeezed_axes(spark, sf_dir):
+    axes = ngff.squeezed_axes(F.when(F.col("p_size") % 2 == 0, 4).otherwise(1), F.lit(1), F.col("p_size"), F.lit(8), F.lit(8))
+    return table(spark, sf_dir, "part").select("p_partkey", axes.alias("axes"))
 
 
 # Joins and sets
@@ -256,37 +638,60 @@ def action_color(spark, sf_dir):
 @query(f"WITH {REC}, acq AS (SELECT acquisition, count(*) AS planes FROM rec GROUP BY 1) SELECT event_id, acquisition, planes FROM rec JOIN acq USING (acquisition)")
 def acq_lookup(spark, sf_dir):
     r = rec(spark, sf_dir)
-    return r.join(r.groupBy("acquisition").agg(F.count("*").alias("planes")), "acquisition").select("event_id", "acquisition", "planes")
+    return records.with_acquisition(r, r.groupBy("acquisition").agg(F.count("*").alias("planes"))).select("event_id", "acquisition", "planes")
 
 
-@query("SELECT c_custkey, n_name, coalesce(n_name, 'none') AS channel FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 12) ON c_nationkey = n_nationkey")
+@query("SELECT c_custkey, n_name, coalesce(n_name, 'none') AS channel FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
 def channel_left(spark, sf_dir):
     return with_nation(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
 
 
 def with_nation(customer, nation):
     """Customers with their nation's name, 'none' as the channel of those without one."""
-    joined = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    joined = records.with_channel(customer.withColumnRenamed("c_nationkey", "ch"), nation.withColumnRenamed("n_nationkey", "ch"), ["ch"])
     return joined.select("c_custkey", "n_name", F.coalesce("n_name", F.lit("none")).alias("channel"))
 
 
+@query("SELECT p_brand, coalesce(min(y), 1.0) AS size_y, coalesce(min(x), 1.0) AS size_x, coalesce(min(y) = max(y), true) AND coalesce(min(x) = max(x), true) AS consistent FROM (SELECT p_brand, CASE WHEN p_size > 3 THEN p_size % 2 * 1.0::DOUBLE + 1 END AS y, 0.65::DOUBLE AS x FROM part) GROUP BY p_brand")
+def pixel_sizes(spark, sf_dir):
+    used = table(spark, sf_dir, "part").select("p_brand", F.when(F.col("p_size") > 3, F.col("p_size") % 2 + 1.0).cast("double").alias("pixel_y"), F.lit(0.65).cast("double").alias("pixel_x"))
+    return records.pixel_sizes(used, ["p_brand"])
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 5 BETWEEN 1 AND 3 THEN 'line ' || (c_custkey % 5) END AS timeline FROM customer")
+def timeline_position(spark, sf_dir):
+    lines = F.array(*[F.lit(f"line {i}") for i in (1, 2, 3)])
+    return table(spark, sf_dir, "customer").select("c_custkey", records.timeline_at(lines, (F.col("c_custkey") % 5).cast("int")).alias("timeline"))
+
+
+@query("SELECT c_nationkey, coalesce(arg_min(o, c_custkey) FILTER (o IS NOT NULL), 0) AS overlap FROM (SELECT c_nationkey, c_custkey, CASE WHEN c_custkey % 50 = 0 THEN CAST(c_custkey AS INT) END AS o FROM customer) GROUP BY c_nationkey")
+def overlap_pixels(spark, sf_dir):
+    specs = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", F.when(F.col("c_custkey") % 50 == 0, F.col("c_custkey").cast("int")).alias("overlap"))
+    return records.overlap_pixels(specs, ["c_nationkey"], "c_custkey")
+
+
+@query(f"WITH {REC}, {KEYED % 'false'} SELECT {_BY}, event_id, ch FROM keyed QUALIFY row_number() OVER (PARTITION BY {_BY} ORDER BY acquisition, time_point, event_id) = 1")
+def first_record(spark, sf_dir):
+    return _int_split(records.first_record(records.stack_keys(rec(spark, sf_dir)), records.STACK, ["acquisition", "time_point", "event_id"], ["event_id", "ch"]))
+
+
 @query("SELECT c_custkey, c_name FROM customer ANTI JOIN (SELECT * FROM orders WHERE o_totalprice > 300000) ON o_custkey = c_custkey")
 def skip_existing_anti(spark, sf_dir):
-    return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders").where("o_totalprice > 300000"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey", "c_name")
+    done = table(spark, sf_dir, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
+    return records.missing_outputs(table(spark, sf_dir, "customer"), done, "c_custkey").select("c_custkey", "c_name")
 
 
-@query("SELECT t, c, z, CAST(t * 0.5 AS DOUBLE) AS delta_t FROM (SELECT unnest(range(5)) AS t), (SELECT unnest(range(2)) AS c), (SELECT unnest(range(3)) AS z)")
-def plane_cross(spark, sf_dir):
-    axis = lambda n, name: F.explode(F.expr(f"sequence(0L, {n - 1}L)")).alias(name)
-    return spark.range(1).select(axis(5, "t")).select("t", axis(2, "c")).select("t", "c", axis(3, "z")).select("t", "c", "z", (F.col("t") * 0.5).alias("delta_t"))
+@query("SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders) AS \"exists\" FROM customer")
+def path_exists(spark, sf_dir):
+    listing = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return records.existing(table(spark, sf_dir, "customer").select("c_custkey"), listing, "c_custkey")
 
 
 @query(f"""WITH {REC}, g AS (SELECT r, c FROM (SELECT unnest(range(1, 17)) AS r), (SELECT unnest(range(1, 25)) AS c)), n AS (SELECT "row" AS r, "column" AS c, count(*) AS n FROM rec GROUP BY ALL)
     SELECT CAST(r AS INT) AS r, CAST(c AS INT) AS c, coalesce(n, 0) AS n FROM g LEFT JOIN n USING (r, c)""")
 def plate_grid(spark, sf_dir):
-    grid = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(16))).alias("r")).select("r", F.explode(F.sequence(F.lit(1), F.lit(24))).alias("c"))
-    counts = rec(spark, sf_dir).groupBy(F.col("row").alias("r"), F.col("column").alias("c")).agg(F.count("*").alias("n"))
-    return grid.join(counts, ["r", "c"], "left").select("r", "c", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+    size = spark.range(1).select(F.lit(16).alias("n_rows"), F.lit(24).alias("n_cols"))
+    return records.plate_grid(size, rec(spark, sf_dir).groupBy(F.col("row").alias("r"), F.col("column").alias("c")).agg(F.count("*").alias("n")))
 
 
 @query("SELECT s_name AS name, s_acctbal AS balance, NULL::VARCHAR AS segment FROM supplier UNION ALL SELECT c_name, c_acctbal, c_mktsegment FROM customer")
@@ -298,48 +703,57 @@ def union_by_name(spark, sf_dir):
 
 @query(f"WITH {REC} SELECT DISTINCT acquisition, begin_time FROM rec")
 def distinct_pairs(spark, sf_dir):
-    return rec(spark, sf_dir).select("acquisition", "begin_time").distinct()
+    return records.begin_times(rec(spark, sf_dir))
 
 
-# Catalogue and registry
+# Catalogue
 
 
-@query(f"""WITH {REC} SELECT event_id, CAST(row_number() OVER (ORDER BY "row", "column", action, field_index, coalesce(partial_tile_index, 0), acquisition, event_id) AS INT) AS pos FROM rec ORDER BY pos LIMIT 500""")
-def catalog_sort(spark, sf_dir):
-    from ..llm.sharding import numbered  # the operators for training data are optional, so they are loaded where they are needed
+def _entries(spark, sf_dir) -> DataFrame:
+    """Records as catalogue entries: well, action, its index, field or tile, acquisition, stem."""
+    r = rec(spark, sf_dir)
+    well = F.when(F.col("event_id") % 13 == 0, "unknown").otherwise(names.well_id(F.col("row"), F.col("column")))
+    action = F.when(F.col("event_id") % 17 == 0, "").otherwise(F.col("action"))
+    return r.select("event_id", well.alias("well"), action.alias("action"), "action_index", F.when(F.col("tile_x_index").isNull(), F.col("field_index")).alias("field_index"), "partial_tile_index", F.col("acquisition").alias("acquisition_index"), F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("stem"))
 
-    order = ["row", "column", "action", "field_index", "tile", "acquisition", "event_id"]
-    rows, _ = numbered(rec(spark, sf_dir).withColumn("tile", F.coalesce("partial_tile_index", F.lit(0))).select(*order), order)
-    return rows.select("event_id", (F.col("row_number") + 1).cast("int").alias("pos"))
+
+_ENTRIES = f"""WITH {REC}, e AS (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'unknown' ELSE chr(64 + "row") || printf('%02d', "column") END AS well, CASE WHEN event_id % 17 = 0 THEN '' ELSE action END AS action, action_index,
+    CASE WHEN tile_x_index IS NULL THEN field_index END AS field_index, partial_tile_index, acquisition, 's' || event_id AS stem FROM rec)"""
+
+
+@query(f"{_ENTRIES} SELECT event_id, CAST(row_number() OVER (ORDER BY well, action, action_index, coalesce(field_index, partial_tile_index, 0), acquisition, stem) AS BIGINT) AS pos FROM e")
+def catalog_sort(spark, sf_dir):
+    return records.catalog_sorted(_entries(spark, sf_dir)).select("event_id", F.col("pos").cast("long").alias("pos"))
 
 
-@query(f"""WITH {REC} SELECT count(*) AS datasets, count(DISTINCT ("row", "column")) AS wells, count(DISTINCT action) AS actions FROM rec""")
+@query(f"{_ENTRIES} SELECT count(*) AS datasets, count(DISTINCT well) FILTER (well <> 'unknown') AS wells, count(DISTINCT action) FILTER (action <> '') AS actions FROM e")
 def catalog_counts(spark, sf_dir):
-    return rec(spark, sf_dir).agg(F.count("*").alias("datasets"), F.countDistinct("row", "column").alias("wells"), F.countDistinct("action").alias("actions"))
+    return records.catalog_counts(_entries(spark, sf_dir))
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
-def json_extract(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+@query(f"{_ENTRIES} SELECT well, CASE WHEN action = '' THEN '—' ELSE action END AS action, count(*) AS n FROM e GROUP BY ALL")
+def catalog_groups(spark, sf_dir):
+    return records.group_counts(_entries(spark, sf_dir))
 
 
-@query("""SELECT o_orderkey, substr(sha256('{"priority": "' || o_orderpriority || '", "status": "' || o_orderstatus || '", "user": ' || o_custkey || '}'), 1, 12) AS experiment_id FROM orders""")
-def experiment_id(spark, sf_dir):
-    text = F.concat(F.lit('{"priority": "'), "o_orderpriority", F.lit('", "status": "'), "o_orderstatus", F.lit('", "user": '), F.col("o_custkey").cast("string"), F.lit("}"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.substring(F.sha2(text.cast("binary"), 256), 1, 12).alias("experiment_id"))
+@query(f"{_ENTRIES} SELECT event_id FROM e WHERE action IN ('view', 'click') AND (contains(stem, '11') OR contains(lower(action), '11') OR contains(lower(well), '11'))")
+def catalog_filter(spark, sf_dir):
+    return records.visible(_entries(spark, sf_dir), actions=["view", "click"], query=" 11 ").select("event_id")
 
 
-@query("""SELECT o_orderkey, concat_ws(' | ', o_orderstatus, nullif(o_orderpriority, '5-LOW')) || CASE WHEN o_totalprice > 100000 THEN ' [multi-day]' ELSE '' END || ' — ' || o_custkey AS label FROM orders""")
-def experiment_label(spark, sf_dir):
-    label = F.concat(F.concat_ws(" | ", "o_orderstatus", F.nullif("o_orderpriority", F.lit("5-LOW"))), F.when(F.col("o_totalprice") > 100000, " [multi-day]").otherwise(""), F.lit(" — "), F.col("o_custkey").cast("string"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", label.alias("label"))
+@query("""SELECT event_id, coalesce(nullif(json_extract_string(props, '$.k'), ''), 'unknown') AS well, event_type AS action, CASE WHEN event_id % 4 = 0 THEN CAST(0 AS INT) ELSE CAST(2 AS INT) END AS n_levels,
+    CASE WHEN event_id % 4 = 0 THEN '' ELSE 'YX=' || event_id || '×8' END AS shape FROM (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS event_type, CASE WHEN event_id % 4 = 0 THEN '{}' ELSE props END AS props FROM events)""".replace("event_type AS action", "coalesce(event_type, '') AS action"))
+def catalog_entries(spark, sf_dir):
+    # Every fourth dataset has attributes that are no JSON.
+    good = F.col("event_id") % 4 != 0
+    own = F.to_json(F.struct(F.array(F.struct(F.array(F.struct(F.lit("y").alias("name")), F.struct(F.lit("x").alias("name"))).alias("axes"), F.array(F.struct(F.lit("0").alias("path")), F.struct(F.lit("1").alias("path"))).alias("datasets"))).alias("multiscales"), F.struct(F.get_json_object("props", "$.k").alias("WellID"), F.col("event_type").alias("Action")).alias(catalog.EXTRAS)))
+    array = F.to_json(F.struct(F.array(F.col("event_id").cast("int"), F.lit(8)).alias("shape"), F.lit("<u2").alias("dtype")))
+    rows = table(spark, sf_dir, "events").select(F.concat(F.lit("/x/"), F.col("event_id").cast("string"), F.lit(".ome.zarr")).alias("folder"), F.when(good, own).otherwise("{broken").alias("zattrs"), F.when(good, array).alias("zarray"), F.lit(None).cast("string").alias("analysis"))
+    got = catalog.entries(rows, "/x")
+    return got.select(F.col("stem").cast("long").alias("event_id"), "well", "action", "n_levels", names.shape_label(F.col("axes"), F.col("shape")).alias("shape"))
 
 
-@query("""SELECT source, count(*) AS processed, CAST(sum(n_chars) AS BIGINT) AS size_in, CAST(sum(length(text)) AS BIGINT) AS size_out,
-    round((1 - sum(length(text)) / greatest(sum(n_chars), 1)::DOUBLE) * 100, 6) AS reduction, bool_and(length(text) > 0) AS all_ok FROM documents GROUP BY source""")
-def compress_summary(spark, sf_dir):
-    size = F.length("text")
-    return table(spark, sf_dir, "documents").groupBy("source").agg(
-        F.count("*").alias("processed"), F.sum("n_chars").alias("size_in"), F.sum(size).cast("long").alias("size_out"),
-        F.round((1 - F.sum(size) / F.greatest(F.sum("n_chars"), F.lit(1))) * 100, 6).alias("reduction"), F.bool_and(size > 0).alias("all_ok"),
-    )
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_extract(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+

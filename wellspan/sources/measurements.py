@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..operators.records import chronological, duplicate_instants, without_keywords
 
+#: Fixed names: elements and attributes of the vendor's files.
 RECORD = """_Type string, _Time string, _Column int, _Row int, _TimePoint int, _TimelineIndex int, _X double, _Y double, _VALUE string, _FieldIndex int,
     _PartialTileIndex int, _TileXIndex int, _TileYIndex int, _ZIndex int, _ActionIndex int, _Action string, _Ch int, _Z double,
     _ZImageProcessing string, _ZTop double, _ZBottom double"""
@@ -82,8 +83,12 @@ def read_measurements(spark: SparkSession, root: str, exclude: Sequence[str] = (
     begin times are one instant, or when no measurement is left.
     """
     wanted = find_measurements(spark, root)
-    for words, keep in ((exclude, False), (include, True)):
+    if wanted.isEmpty():
+        raise ValueError(f"no measurement below {root}")
+    for words, keep, said in ((exclude, False, "is left by the excluded"), (include, True, "has one of the included")):
         wanted = without_keywords(wanted, "path", words, keep)
+        if words and wanted.isEmpty():
+            raise ValueError(f"no measurement {said} keywords: {', '.join(words)}")
     raw = read_xml(spark, root, "MeasurementData.mlf", "MeasurementRecord", RECORD)
     missing = F.exists(F.array(*[F.col(c).isNull() for c in ALWAYS]), lambda x: x)
     no_image = (F.col("type") == "IMG") & F.exists(F.array(*[F.col(c).isNull() for c in IMAGE]), lambda x: x)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Fixed names: fields of a registry entry.
 EXPERIMENT = """experiment_id string, created string, user string, project string, instrument string, modality string, cell_type string, well_type string,
     treatment string, replicate int, prep_date string, labels string, notes string, multi_day boolean, acquisition_date string"""
 
