@@ -105,6 +105,76 @@ def test_jaccard(docs, empty, monkeypatch, k, percent, block):
     assert jaccard.classes(empty).count() == 0
 
 
+def test_sparse_groups_lose_no_link(spark):
+    """Sets of every small size, where groups stay empty often, with one shingle changed or added."""
+    rnd = random.Random(8)
+    rows = []
+    for n in list(range(1, 26)) * 3:
+        words = [f"v{rnd.randrange(10**6)}" for _ in range(n + 1)]
+        other = words[:]
+        other[rnd.randrange(len(other))] = "changed"
+        rows += [" ".join(words), " ".join(other), " ".join([*words, "tail"])]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for percent in (60, 80):
+        got = jaccard.classes(df, 2, percent).select("doc_id", "n_shingles", "component_id").collect()
+        assert sorted(map(tuple, got), key=str) == grouped(pairs(df), 2, percent)
+    with pytest.raises(ValueError):
+        jaccard.classes(df, 2, 50)
+
+
+def test_dense_tasks_are_verified_together(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "SPARSE", 0)
+    got = jaccard.classes(docs, 3, 80).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == grouped(pairs(docs), 3, 80)
+
+
+def test_one_of_each(spark, docs):
+    df = docs.withColumnRenamed("w", "kept_id").withColumnRenamed("row", "its_id")
+    least = defaultdict(set)
+    for d, _, c in grouped(pairs(df), 5, 80):
+        least[d].add(d == c)
+    got = jaccard.one_of_each(df, 5, 80)
+    assert got.columns == df.columns
+    assert sorted((r["doc_id"] for r in got.collect()), key=str) == sorted((d for d, _ in pairs(df) if True in least[d]), key=str)
+
+
+def thue_morse(x, y):
+    for _ in range(10):
+        x, y = x + y, y + x
+    return x
+
+
+def test_words_alike_to_weak_hashes(spark):
+    a, b = thue_morse("a", "b"), thue_morse("b", "a")
+    prose = " ".join(f"p{i}" for i in range(60))
+    df = spark.createDataFrame([(1, f"{prose} {a}"), (2, f"{prose} {b}"), (3, f"{a} x y"), (4, f"{b} x y")], "doc_id long, text string")
+    assert sorted(map(tuple, substring_dedup.dedup_substrings(df).collect()), key=str) == removed(pairs(df))
+    assert sorted(map(tuple, suffix_dedup.dedup_suffixes(df).collect()), key=str) == removed(pairs(df))
+    got = jaccard.classes(df).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == grouped(pairs(df), 3, 90)
+    words = " ".join(thue_morse("u ", "v ").split()), " ".join(thue_morse("v ", "u ").split())
+    df = spark.createDataFrame([(1, words[0]), (2, words[1])], "doc_id long, text string")
+    assert sorted(map(tuple, suffix_dedup.dedup_suffixes(df).collect()), key=str) == removed(pairs(df))
+
+
+def test_string_ids(spark, docs):
+    text = {f"d{d:03}": t for d, t in pairs(docs) if d is not None}
+    df = spark.createDataFrame([*text.items(), (None, texts()[9])], "doc_id string, text string")
+    rows = sorted(text.items())
+    number = {d: i for i, (d, _) in enumerate(rows)} | {None: None}
+    want = removed([(number[d], t) for d, t in [*rows, (None, texts()[9])]])
+    for op in (substring_dedup.dedup_substrings, suffix_dedup.dedup_suffixes):
+        assert sorted(((number[r[0]], *r[1:]) for r in op(df).collect()), key=str) == want
+    got = [(number[r[0]], r[1], number[r[2]]) for r in jaccard.classes(df).select("doc_id", "n_shingles", "component_id").collect()]
+    assert sorted(got, key=str) == grouped([(number[d], t) for d, t in [*rows, (None, texts()[9])]], 3, 90)
+    assert {r["doc_id"] for r in weak_quality.quality(df).collect()} == set(text) | {None}
+
+
+def test_kept_text(docs):
+    rows = substring_dedup.dedup_substrings(docs, with_text=True).collect()
+    assert all(hashlib.sha256(r["kept_text"].encode()).hexdigest() == r["kept_sha256"] for r in rows)
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)] + [(7, 7)]
@@ -123,6 +193,12 @@ def test_components(spark):
     assert got == {k: v for k, v in want.items() if near[k] - {k}}
 
 
+def test_mixing_with_many_sources(docs, monkeypatch):
+    want = sorted(map(tuple, mixing.mixed(docs).collect()), key=str)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(tuple, mixing.mixed(docs).collect()), key=str) == want
+
+
 def test_mixing(docs, empty):
     rows = mixing.mixed(docs).collect()
     assert len(rows) == docs.count() and all(r["taken"] in (r["size"] * r["copies"],) and r["copies"] <= 2 for r in rows)
@@ -152,9 +228,10 @@ def test_feistel(n):
     assert sorted(out.tolist()) == list(range(n)) and f.invert(out).tolist() == list(range(n))
 
 
-@pytest.mark.parametrize("bound", [200_000, 0])
-def test_decontaminate(spark, docs, empty, monkeypatch, bound):
+@pytest.mark.parametrize("bound,block", [(200_000, 1), (0, 2_000_000), (0, 20)])
+def test_decontaminate(spark, docs, empty, monkeypatch, bound, block):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", bound)
+    monkeypatch.setattr(decontaminate, "BLOCK_HASHES", block)
     items = [(1, " ".join(texts()[9].split()[20:60])), (2, "One, two!"), (3, None), (4, ""), (10, texts()[15])]
     bench = spark.createDataFrame(items, "item_id long, text string")
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -195,6 +272,93 @@ def test_quality_rules(docs, empty):
     assert cascade.judged(empty).count() == 0
 
 
+def test_large_benchmark(spark):
+    """More windows than stand in the plan; no window of the documents is shuffled."""
+    vocabulary = [f"b{i}" for i in range(400)]
+    rnd = random.Random(4)
+    bench = spark.createDataFrame([(i, " ".join(rnd.choices(vocabulary, k=3010))) for i in range(100)], "item_id long, text string")
+    some = bench.where("item_id < 3").collect()
+    docs = [(r["item_id"], "x " + " ".join(r["text"].split()[5 : 15 + r["item_id"]]) + " y") for r in some] + [(9, " ".join(vocabulary[:300]))]
+    got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontaminate.scan(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {0: (10, ["0"]), 1: (11, ["1"]), 2: (12, ["2"]), 9: (0, [])}
+
+
+def test_cascade_keeps_and_orders(spark, docs):
+    prose = [(5000 + i, " ".join(f"good{chr(97 + j % 26)} word{chr(97 + i + j % 20)}s" for j in range(40)), *[None] * 7) for i in range(5)]
+    docs = docs.union(spark.createDataFrame(prose, SCHEMA))
+    rows = {r["doc_id"]: r for r in cascade.judged(docs).collect()}
+    kept = cascade.kept(docs).collect()
+    assert Counter(r["doc_id"] for r in kept) == Counter(r["doc_id"] for r in cascade.judged(docs).collect() if r["kept"]) and len(kept)
+    assert cascade.kept(docs).columns == docs.columns
+    rules = cascade.default_rules()
+    other = {r["doc_id"]: r["kept"] for r in cascade.judged(docs, rules[::-1]).collect()}
+    assert all(rows[d]["kept"] == k for d, k in other.items() if d is not None)
+    junk = [(1, " ".join(["a1"] * 5 + [f"{i}" * 5 for i in range(100)])), (2, " ".join(f"w{i}" for i in range(100)) + " " + "x" * 1001), (3, " ".join(f"good{i} words" for i in range(100)))]
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in cascade.judged(spark.createDataFrame(junk, "doc_id long, text string")).collect()}
+    assert got == {1: (False, False), 2: (False, False), 3: (False, True)}
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        row, old = [i + 1], row
+        for j, y in enumerate(b):
+            row.append(min(old[j + 1] + 1, row[j] + 1, old[j] + (x != y)))
+    return row
+
+
+def plain_score(model, text):
+    """The score by trying every term on every word, without a trie, an automaton or a cache."""
+    low, weights = (text or "").lower(), {}
+    quoted = toxicity.quotations(low)
+    tokens = [(m.group(), m.start()) for m in re.finditer(r"\w+", low)]
+    for i, (word, at) in enumerate(tokens):
+        near = {w for w, _ in tokens[max(0, i - toxicity.CONTEXT) : i + toxicity.CONTEXT + 1]}
+        weight = toxicity.QUOTED if near & toxicity.REPORTING or any(a < at < b for a, b in quoted) else 1.0
+        for term in model.exact:
+            body = term.removesuffix("$")
+            row = levenshtein(body, word)
+            d = row[-1] if term.endswith("$") else min(row)
+            if d == 0 or d == 1 and len(body) >= toxicity.FUZZY_FROM:
+                weights[term, d] = max(weight, weights.get((term, d), 0))
+    clean = 1 - model.base
+    for (term, d), weight in sorted(weights.items()):
+        clean *= 1 - weight * (model.fuzzy if d else model.exact).get(term, 0.0)
+    return 1 - clean
+
+
+def test_scores_against_every_term_on_every_word(spark, docs):
+    model = toxicity.Model(exact={"idiot$": 0.9, "loser": 0.7, "scum$": 0.8, "w12$": 0.6}, fuzzy={"idiot$": 0.5, "loser": 0.4}, base=0.03)
+    given = [t for _, t in pairs(docs)] + ["you Idiot!", "an idoit, an idiiot and a losers' club", 'he said "scum" twice', "scun", "lose it, looser", None, "“idiot” idiots"]
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    got = {r["doc_id"]: r["toxicity"] for r in toxicity.scored(df, model).collect()}
+    for i, text in enumerate(given):
+        assert got[i] == pytest.approx(plain_score(model, text), abs=1e-12), text
+
+
+def test_expectation_maximisation_by_hand():
+    """One round of the estimate written out, labeller by labeller."""
+    patterns = {"1111111": 40, "1121111": 20, "0000000": 10, "0200002": 5, "1101111": 8}
+    post, p = weak_quality.estimate(patterns, rounds=1)
+    start = {0: (0.5, 0.3, 0.2), 1: (0.05, 0.85, 0.1)}
+    for pattern in patterns:
+        like = [prior * np.prod([start[c][int(v)] for v in pattern]) for c, prior in ((0, 1 - weak_quality.PRIOR_GOOD), (1, weak_quality.PRIOR_GOOD))]
+        assert post[pattern] == pytest.approx(like[1] / sum(like))
+    mass = {c: {v: 1.0 + sum(n * (post[k] if c else 1 - post[k]) for k, n in patterns.items() if k[0] == str(v)) for v in range(3)} for c in (0, 1)}
+    for c in (0, 1):
+        for v in range(3):
+            assert p[0, c, v] == pytest.approx(mass[c][v] / sum(mass[c].values()))
+
+
+def test_quality_against_labels(spark):
+    """Held against labels that the classifier never sees: the share of good and bad pairs in the right order."""
+    sf = "/root/testdata/sf0.01"
+    scores = weak_quality.quality(spark.read.parquet(f"{sf}/documents.parquet"))
+    rows = scores.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").select("score", "quality").collect()
+    good, bad = (np.array([r["score"] for r in rows if r["quality"] == q]) for q in (1, 0))
+    assert len(bad) > 10 and (good[:, None] > bad[None]).mean() > 0.85
+
+
 def test_toxicity(spark, docs, empty):
     rows = [(i, f"some plain words number w{i} here" + (" you idiot" if i % 4 == 0 else "")) for i in range(200)]
     train = spark.createDataFrame(rows, "doc_id long, text string")

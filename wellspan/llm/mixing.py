@@ -79,6 +79,10 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, **names) -> DataFrame:
-    """The mixture itself: every row as often as it is taken, with exactly the columns of ``docs``."""
+    """The mixture itself: every row as often as it is taken, with exactly the columns of ``docs``.
+
+    Null and empty texts have no words and are taken floor(rate) times or once more like others of their source; a null
+    source is one of its own; rows with one id and text are taken alike; an empty table gives an empty one.
+    """
     rows = mixed(docs, weights, share, cap, keep_row=True, **names).where(F.col("copies") > 0)
     return rows.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select("row.*")

@@ -22,7 +22,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     labelled = urlrules.page_labels(pages, _table(spark, sf_dir, "labels"))
-    return urlrules.judged(labelled, F.col("bad")).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+    return urlrules.judged(labelled.select("row.*", "bad"), F.col("bad")).select("page_id", "host", "path", "rule", "verdict", "template", "bad_share")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +34,8 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def held_out(column: str = "doc_id"):
-    return F.crc32(F.col(column).cast("string").cast("binary")) % 5 == 0
+    """Whether a document is never learned from; one without an id isn't learned from either."""
+    return F.col(column).isNull() | (F.crc32(F.col(column).cast("string").cast("binary")) % 5 == 0)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,10 +159,12 @@ repeats AS (SELECT rid, count(DISTINCT i) AS n FROM (SELECT rid, unnest(range(po
 base AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST((SELECT count(x) - count(DISTINCT x) FROM (SELECT unnest(string_split(text, chr(10))) AS x) WHERE regexp_matches(x, '[^\x20\x09-\x0D]')) AS BIGINT) AS n_dup_lines,
-    len(string_split(text, chr(10))) AS n_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words
+    len(string_split(text, chr(10))) AS n_lines, len(list_distinct(w)) AS n_distinct, length(regexp_replace(text, '[^\p{{L}}]', '', 'g')) AS n_letters,
+    coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest_word, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words
     FROM docs LEFT JOIN repeats USING (rid))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-    NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 4 * n_symbols > word_chars OR 2 * n_dup_lines > n_lines) AS kept
+    NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 4 * n_symbols > word_chars OR 2 * n_dup_lines > n_lines
+        OR 2 * n_letters < word_chars OR 50 * n_distinct < n_words OR longest_word > 1000) AS kept
 FROM base
 """
 

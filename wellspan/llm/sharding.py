@@ -91,12 +91,13 @@ def place(docs: DataFrame, shards: int = 16, seed: int = 17, *, id_col: str = "d
     Rows are numbered by (doc_id, text checksum, size), nulls last; number r goes to place
     p = permutation(r), that is to shard p mod ``shards`` and slot p div ``shards``: counts differ by one at
     most, slots have no gap, and ``row_at`` computes who stands where.  size is UTF-8 bytes + 1.
-    Null texts count as empty (size 1, checksum 0); rows equal in all three are exchangeable, so
-    reruns give the same result; an empty table gives no rows.
+    Null texts count as empty (size 1, checksum 0); rows equal in all three are told apart by their place
+    in the input, which spreads them over tasks, and are exchangeable, so reruns give the same result; an empty
+    table gives no rows.
     """
     text = text_or_empty(text_col)
-    slim = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"))
-    rows, n = numbered(slim, ["doc_id", "text_crc32", "size"])
+    slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"), F.monotonically_increasing_id().alias("tie"))
+    rows, n = numbered(slim, ["doc_id", "text_crc32", "size", "tie"])
     feistel = Feistel(n, seed)
 
     @F.pandas_udf("long")

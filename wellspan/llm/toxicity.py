@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from .common import materialize, text_or_empty
 from .textcols import chunks, tokenize
 
-#: Labelled documents that are learned from at most (those with the least hashed ids), and candidate terms looked at.
-TRAIN_DOCS, CANDIDATES = 20_000, 20_000
+#: Labelled documents that are learned from at most (those with the least hashed ids).
+TRAIN_DOCS = 20_000
 #: Hits wanted in each toxic training document before terms stop being added for it.
 HITS = 3
-#: Lengths of stems; a term ending in END is a whole word, another a stem that any ending may follow.
-STEM, END = (4, 10), "$"
+#: Lengths of stems (longer tokens are no words, but their beginnings count); a term ending in END is a whole word, another a stem that any ending may follow.
+STEM, END = (4, 40), "$"
 #: Terms of fewer letters are matched only as they are.
 FUZZY_FROM = 5
 #: Words each side of a hit that are read as its context, and what a hit counts in quotation or report.
@@ -147,7 +147,6 @@ class Model:
     fuzzy: dict[str, float] = field(default_factory=dict)
     base: float = 0.05
     _trie: Trie | None = field(default=None, repr=False)
-    _trie: Trie | None = field(default=None, repr=False)
     _known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64), repr=False)
     _hot: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64), repr=False)
     _hits: dict = field(default_factory=dict, repr=False)
@@ -297,7 +296,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     forms = F.concat(F.array(F.concat("w", F.lit(END))), F.when(F.length("w") >= STEM[0], stems).otherwise(F.array().cast("array<string>")))
     terms = counts.select(F.explode(forms).alias("term"), "t", "c").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     pure = terms.where((F.col("t") >= least) & (F.col("c") * 50 * max(toxic, 1) <= F.col("t") * max(clean, 1)))
-    candidates = {r[0]: r[1] for r in pure.orderBy(F.desc("t"), "term").limit(CANDIDATES).select("term", "t").collect()}
+    candidates = {r[0]: r[1] for r in pure.select("term", "t").collect()}  # terms of at most TRAIN_DOCS texts, few of which are pure
     incidence = train.where("toxic = 1").select("text").mapInArrow(_terms_in(sorted(candidates)), "terms array<string>").collect()  # at most TRAIN_DOCS lists
     model = Model(exact=dict.fromkeys(cover(candidates, [list(r[0]) for r in incidence], least), 0.5))
     seen: Counter = Counter()

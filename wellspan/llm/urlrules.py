@@ -54,29 +54,57 @@ def shape(path: Column) -> Column:
     return F.transform(parts, lambda x: F.regexp_replace(x, "[0-9]+", "#"))
 
 
+def _families(children: Column) -> Column:
+    """Families of a node's children, an array of (child, labelled, bad) ordered by rate: those whose rates don't differ.
+
+    Each child is held against the family so far by a two-sample test of their pooled rate; where they differ by SIGMAS
+    standard errors or more a new family begins.  A node has CHILDREN such children at most, as rarer ones are one.
+    """
+
+    def add(families: Column, x: Column) -> Column:
+        last = F.element_at(families, -1)
+        n, k = last["labelled"], last["bad"]
+        rate = (k + x["bad"]) / (n + x["labelled"])
+        error = F.sqrt(rate * (1 - rate) * (1 / n + 1 / x["labelled"]))
+        near = F.abs(k / n - x["bad"] / x["labelled"]) <= F.lit(SIGMAS) * error
+        fresh = F.struct(F.array(x["child"]).alias("names"), x["labelled"].alias("labelled"), x["bad"].alias("bad"))
+        joined = F.struct(F.concat(last["names"], F.array(x["child"])).alias("names"), (n + x["labelled"]).alias("labelled"), (k + x["bad"]).alias("bad"))
+        rest = F.slice(families, F.lit(1), F.size(families) - 1)
+        return F.when(F.size(families) == 0, F.array(fresh)).when(near, F.concat(rest, F.array(joined))).otherwise(F.concat(families, F.array(fresh)))
+
+    empty = F.array().cast("array<struct<names:array<string>,labelled:bigint,bad:bigint>>")
+    return F.aggregate(children, empty, add)
+
+
 def template_tree(shapes: DataFrame) -> DataFrame:
     """(host, shape, template) for a table (host, shape, pages, labelled, bad) with one row per host and shape.
 
-    Level by level: the children of each node (host, template so far) are counted; in a node with many
-    children the rare ones become ``*``; children whose labelled rate is no further from the node's than
-    SIGMAS standard errors are merged into ``+``, the others stay branches of their own.
-    Levels go on until no shape has a further segment; each is written, so the plan stays one level large.
-    A shape alone in its node has no sibling to differ from: what follows is merged at once.
+    Level by level the children of each node (host, template so far) are counted.  In a node with many children the rare
+    ones are generalised into one, ``*``.  Branches are then merged with each other: children whose labelled rates don't
+    differ are one family (``+`` if all of a node's are, else ``(a|b)`` by their names); children without labels, of which
+    nothing is known, are ``+``.  Levels go on until no shape has a further segment; each is written, so the plan stays one
+    level large.  A shape alone in its node has no sibling to differ from: what follows is merged at once.
     All levels work on shapes, of which there are fewer than pages, by grouped sums.
     """
     level, ended, depth = materialize(shapes.withColumn("template", F.lit("")), "url-level"), [], 0
-    columns = level.columns
+    columns, node = level.columns, ["host", "template"]
     while not level.where(F.size("shape") > depth).isEmpty():
         level = level.withColumn("child", F.coalesce(F.get("shape", F.lit(depth)), F.lit("")))
-        child = level.groupBy("host", "template", "child").agg(F.count("*").alias("shapes"), *[F.sum(c).alias(c) for c in ("pages", "labelled", "bad")])
-        node = child.groupBy("host", "template").agg(F.count("*").alias("n_children"), *[F.sum(c).alias(f"node_{c}") for c in ("shapes", "pages", "labelled", "bad")])
-        both = child.join(node, ["host", "template"])
-        rate = F.when(F.col("node_labelled") > 0, F.col("node_bad") / F.col("node_labelled")).otherwise(0.0)
-        spread = F.sqrt(F.col("labelled") * rate * (1 - rate) + F.lit(0.25))
-        near = F.abs(F.col("bad") - F.col("labelled") * rate) <= F.lit(SIGMAS) * spread
+        child = level.groupBy(*node, "child").agg(F.count("*").alias("shapes"), *[F.sum(c).alias(c) for c in ("pages", "labelled", "bad")])
+        sums = child.groupBy(*node).agg(F.count_if(F.col("child") != "").alias("n_children"), F.sum("shapes").alias("node_shapes"), F.sum("pages").alias("node_pages"))
+        both = child.join(sums, node)
         rare = (F.col("n_children") > CHILDREN) & (F.col("pages") * CHILDREN < F.col("node_pages"))
-        step = F.when(F.col("child") == "", "").when(rare, "/*").when(near, "/+").otherwise(F.concat(F.lit("/"), "child"))
-        level = level.join(both.select("host", "template", "child", step.alias("step"), (F.col("node_shapes") == 1).alias("alone")), ["host", "template", "child"])
+        both = materialize(both.withColumn("branch", F.when(F.col("child") == "", "").when(rare, "*").otherwise(F.col("child"))), "url-children")
+        branch = both.where("branch <> ''").groupBy(*node, "branch").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")).where("labelled > 0")
+        ordered = F.array_sort(F.collect_list(F.struct((F.col("bad") / F.col("labelled")).alias("rate"), F.col("branch").alias("child"), "labelled", "bad")))
+        families = branch.groupBy(*node).agg(ordered.alias("children"))  # CHILDREN + 1 of a node at most
+        families = families.select(*node, _families(F.transform("children", lambda x: F.struct(x["child"], x["labelled"], x["bad"]))).alias("families"))
+        one = families.select(*node, F.size("families").alias("n_families"), F.explode("families.names").alias("names"))
+        label = F.when(F.col("n_families") == 1, "+").when(F.size("names") == 1, F.col("names")[0]).otherwise(F.concat(F.lit("("), F.array_join(F.array_sort("names"), "|"), F.lit(")")))
+        steps = one.select(*node, F.explode("names").alias("branch"), label.alias("label"))
+        step = F.when(F.col("branch") == "", "").otherwise(F.concat(F.lit("/"), F.coalesce("label", F.lit("+"))))
+        named = both.join(steps, [*node, "branch"], "left").select(*node, "child", step.alias("step"), (F.col("node_shapes") == 1).alias("alone"))
+        level = level.join(named, [*node, "child"])
         step = F.when(F.col("alone"), F.repeat(F.lit("/+"), F.size("shape") - depth)).otherwise(F.col("step"))
         level = materialize(level.withColumn("template", F.concat("template", step)).select(*columns, (F.col("alone") | (F.size("shape") <= depth)).alias("ended")), "url-level")
         ended.append(level.where("ended").select(*columns))
@@ -87,21 +115,21 @@ def template_tree(shapes: DataFrame) -> DataFrame:
 
 
 def judged_templates(shapes: DataFrame, reject_at: float = 0.5, prior_weight: float = 4.0) -> DataFrame:
-    """(host, shape, template, purity, verdict): a template is rejected where the smoothed share of bad labels reaches ``reject_at``.
+    """(host, shape, template, bad_share, verdict): a template is rejected where the smoothed share of bad labels reaches ``reject_at``.
 
-    purity = (bad + prior_weight * overall rate) / (labelled + prior_weight): a template without labels
+    Its purity is 1 - bad_share; bad_share = (bad + prior_weight * overall rate) / (labelled + prior_weight): a template without labels
     has the overall rate, so it stands or falls with the whole table.
     """
     tree = template_tree(shapes)
     whole = shapes.agg(F.coalesce(F.sum("bad") / F.nullif(F.sum("labelled"), F.lit(0)), F.lit(0.0))).first()[0]
     sums = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    purity = (F.col("bad") + F.lit(prior_weight * float(whole))) / (F.col("labelled") + F.lit(float(prior_weight)))
-    sums = sums.select("host", "template", purity.alias("purity"))
-    return tree.select("host", "shape", "template").join(sums, ["host", "template"]).withColumn("verdict", F.when(F.col("purity") >= reject_at, "block").otherwise("allow"))
+    share = (F.col("bad") + F.lit(prior_weight * float(whole))) / (F.col("labelled") + F.lit(float(prior_weight)))
+    sums = sums.select("host", "template", share.alias("bad_share"))
+    return tree.select("host", "shape", "template").join(sums, ["host", "template"]).withColumn("verdict", F.when(F.col("bad_share") >= reject_at, "block").otherwise("allow"))
 
 
 def judged(pages: DataFrame, bad: Column | None = None, rules: Sequence[tuple[str, str]] = RULES, *, id_col: str = "page_id", url_col: str = "url", reject_at: float = 0.5) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict, template, purity.
+    """One row per page: page_id, host, path, rule, verdict, template, bad_share.
 
     ``bad`` is 1 for pages labelled bad, 0 for good ones, null for those without a label.  The longest
     fitting rule decides; where none fits the page's template does.
@@ -116,16 +144,19 @@ def judged(pages: DataFrame, bad: Column | None = None, rules: Sequence[tuple[st
     verdicts = materialize(judged_templates(materialize(shapes, "url-shapes"), reject_at), "url-verdicts").withColumnRenamed("verdict", "method")
     joined = base.drop("bad").join(verdicts, ["host", "shape"], "left")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    return joined.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.col("method")).alias("verdict"), "template", "purity")
+    return joined.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.col("method")).alias("verdict"), "template", "bad_share")
 
 
 def page_labels(pages: DataFrame, labels: DataFrame, url_col: str = "url") -> DataFrame:
-    """``pages`` with ``bad``: the document number that ends the url's path looked up in labels (quality 0 is bad).
+    """(row, bad): ``pages`` rows as structs with the quality label of the document they show (1 where quality is 0), null without one.
 
-    Of several labels for a document the worst counts; pages without a number or label get null.
+    A page shows the document whose number ends its path: pages of the tables this is made for hold that document's text.
+    Of several labels for a document the worst counts; null ids and labels are no labels; pages without a url, a number or
+    a label get null; repeated pages stay; columns may have any names; an empty table of pages gives no rows, one of
+    labels gives nulls.
     """
-    _, path = host_and_path(F.col(url_col))
-    number = F.expr("try_cast(n AS bigint)")
-    numbered = pages.withColumn("n", F.regexp_extract(path, r"/([0-9]{1,18})(?:\.[a-z]+)?/?$", 1)).withColumn("labelled_doc", number).drop("n")
-    worst = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("its_doc")).agg((1 - F.min("quality")).alias("bad"))
-    return numbered.join(worst, F.col("labelled_doc") == F.col("its_doc"), "left").drop("its_doc", "labelled_doc")
+    _, path = host_and_path(F.col(f"`{url_col}`"))
+    number = F.regexp_extract(path, r"/([0-9]{1,18})(?:\.[a-z]+)?/?$", 1).try_cast("bigint")
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), number.alias("number"))
+    worst = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("its_number")).agg((1 - F.min("quality")).alias("bad"))
+    return rows.join(worst, F.col("number") == F.col("its_number"), "left").select("row", "bad")
