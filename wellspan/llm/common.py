@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -31,7 +34,28 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 #: Rows of an Arrow batch where rows carry whole texts.
-WIDE_ROWS = 2000
+WIDE_ROWS = 1000
+
+
+def release() -> None:
+    """Give back to the system what this worker has freed: numpy and Arrow keep freed memory, and workers live on between stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """A function over batches that releases memory after each batch it gives, and at its end."""
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield batch
+            del batch
+            release()
+        release()
+
+    return released
 
 
 def by_few_rows(df: DataFrame, run: Callable, schema: str) -> DataFrame:
@@ -40,7 +64,7 @@ def by_few_rows(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return run(b.slice(i, WIDE_ROWS) for b in batches for i in range(0, b.num_rows, WIDE_ROWS))
 
-    return df.mapInArrow(sliced, schema)
+    return df.mapInArrow(lean(sliced), schema)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Ids, by_few_rows, discard, materialize, text_or_empty
+from .common import Ids, by_few_rows, discard, lean, materialize, release, text_or_empty
 from .components import components
 from .textcols import MIX, SEQ, U, WHITE, chunks, mix, prefix, ranges, tokenize
 
@@ -34,7 +34,7 @@ SPARSE = 16
 #: Groups of a point where the cells of its band need fewer (4 times the largest size if that is less).
 FINE = 256
 #: Bytes of text, and rows, whose cells are packed together.
-GATHER_BYTES, GATHER_ROWS = 8 << 20, 60_000
+GATHER_BYTES, GATHER_ROWS = 3 << 20, 60_000
 #: A cell is its part, LOW_BITS of a hash, and its band in the lowest BAND_BITS.
 LOW_BITS, BAND_BITS = 40, 7
 MOST_PARTS = 1 << 16
@@ -373,15 +373,21 @@ def _meetings(table: pa.Table) -> pa.Table:
     """(cell, key, pivot) of one part's cells that have more than one key; pivot is the least of them."""
     part = table.column("part")[0].as_py()
     both = [unpack(x.as_buffer(), part) for chunk in table.column("blob").chunks for x in chunk]
-    cell, key = (np.concatenate(x) for x in zip(*both, strict=True))
+    cell, key = np.concatenate([x[0] for x in both]), np.concatenate([x[1] for x in both])
+    del both, table
     order = np.lexsort((key, cell))
-    cell, key = cell[order], key[order]
+    cell = cell[order]
+    key = key[order]
+    del order
     new = np.append(True, (cell[1:] != cell[:-1]) | (key[1:] != key[:-1]))
     cell, key = cell[new], key[new]
     head = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
     size = np.diff(np.append(head, len(cell)))
     keep = np.repeat(size > 1, size)
-    return pa.table({"cell": cell[keep], "key": key[keep], "pivot": np.repeat(key[head], size)[keep]})
+    out = pa.table({"cell": cell[keep], "key": key[keep], "pivot": np.repeat(key[head], size)[keep]})
+    del cell, key, new, head, size, keep
+    release()
+    return out
 
 
 PAIR = "a long, b long"
@@ -530,10 +536,11 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     what is then still in different components goes, with all pairs across components, through the R-tree.
     """
     ids = Ids(docs, id_col)
-    parts = min(MOST_PARTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks_ = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(MOST_PARTS, 2 * tasks_)
     base = docs.select(ids.encode().alias("doc"), F.xxhash64(text_or_empty(text_col)).alias("txt"), text_or_empty(text_col).alias("text"))
     schema = f"docs array<struct<doc:{ids.type},txt:long,key:long,n:int>>, vectors array<struct<key:long,n:int,band:int,counts:binary>>, met array<struct<cell:long,key:long>>, links array<struct<a:long,b:long>>, blobs array<binary>"
-    gathered = materialize(base.mapInArrow(_gathered(k, percent, parts), schema), "jaccard-gathered")
+    gathered = materialize(base.mapInArrow(lean(_gathered(k, percent, parts)), schema), "jaccard-gathered")
     points = gathered.select(F.inline("docs"))
     nodes = points.where("n > 0").groupBy("key").agg(F.min(F.struct("doc", "txt")).alias("rep"))
     blobs = gathered.select(F.posexplode("blobs").alias("part", "blob")).where("blob IS NOT NULL")
@@ -564,7 +571,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     rows = rows.withColumn("block", F.when(is_main, F.pmod(F.xxhash64("key"), "main_blocks")).otherwise(F.col("main_blocks") + F.pmod(F.xxhash64("key"), "blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.when(is_main, F.expr("sequence(main_blocks, main_blocks + blocks - 1)")).otherwise(F.expr("sequence(0, main_blocks + blocks - 1)"))))
     tasks = rows.select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "component", F.col("n").cast("long").alias("n"), "counts")
-    near = materialize(_dealt(tasks, parts).mapInArrow(_survivors(percent), SURVIVOR), "jaccard-survivors")
+    near = materialize(_dealt(tasks, tasks_).mapInArrow(lean(_survivors(percent)), SURVIVOR), "jaccard-survivors")
     pairs = near.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")).distinct()
     dense = near.where("other IS NULL").drop("other")
     # One task for each set of rows left.
@@ -572,7 +579,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     once = state.groupBy("size", "sum", "xor").agg(F.min(F.struct("cell", "lo", "hi")).alias("s")).select("s.cell", "s.lo", "s.hi")
     rows = dense.join(once, ["cell", "lo", "hi"]).withColumn("band", _band()).join(vectors, ["key", "band"]).join(texts, "key")
     tasks = rows.select("cell", "lo", "hi", F.lit(0).alias("block"), "key", "component", F.col("n").cast("long").alias("n"), "counts", "text")
-    together = by_few_rows(_dealt(tasks, parts), _tree_links(k, percent), PAIR)
+    together = by_few_rows(_dealt(tasks, tasks_), _tree_links(k, percent), PAIR)
     more = materialize(together.unionByName(_check(pairs, texts, k, percent)).distinct(), "jaccard-more")
     final = materialize(components(links.unionByName(more)), "jaccard-components")
     named = nodes.join(final, F.col("key") == F.col("node"), "left").select("key", "rep.doc", F.coalesce("component", "key").alias("component"))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import lean, materialize, release, text_or_empty
 from .textcols import chunks, tokenize
 
 #: Labelled documents that are learned from at most (those with the least hashed ids).
@@ -297,10 +297,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     terms = counts.select(F.explode(forms).alias("term"), "t", "c").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     pure = terms.where((F.col("t") >= least) & (F.col("c") * 50 * max(toxic, 1) <= F.col("t") * max(clean, 1)))
     candidates = {r[0]: r[1] for r in pure.select("term", "t").collect()}  # terms of at most TRAIN_DOCS texts, few of which are pure
-    incidence = train.where("toxic = 1").select("text").mapInArrow(_terms_in(sorted(candidates)), "terms array<string>").collect()  # at most TRAIN_DOCS lists
+    incidence = train.where("toxic = 1").select("text").mapInArrow(lean(_terms_in(sorted(candidates))), "terms array<string>").collect()  # at most TRAIN_DOCS lists
     model = Model(exact=dict.fromkeys(cover(candidates, [list(r[0]) for r in incidence], least), 0.5))
     seen: Counter = Counter()
-    for term, distance, label, n in train.mapInArrow(_hits_in(model), "term string, distance int, toxic int, docs long").groupBy("term", "distance", "toxic").agg(F.sum("docs")).collect():
+    for term, distance, label, n in train.mapInArrow(lean(_hits_in(model)), "term string, distance int, toxic int, docs long").groupBy("term", "distance", "toxic").agg(F.sum("docs")).collect():
         seen[term, distance, label] += n
     for term in model.exact:
         model.fuzzy[term] = (seen[term, 1, 1] + 1.2) / (seen[term, 1, 1] + seen[term, 1, 0] + 2.0)
@@ -325,6 +325,7 @@ def scored(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFram
             for i in np.flatnonzero(model.suspects(column)).tolist():
                 scores[i] = model.score(column[i].as_py())
             out.append(scores)
+        release()
         return pa.array(np.concatenate(out) if out else np.zeros(0))
 
     return docs.withColumn("toxicity", score(text_or_empty(text_col)))

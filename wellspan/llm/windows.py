@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Ids, materialize, text_or_empty
+from .common import Ids, lean, materialize, text_or_empty
 from .textcols import MIX, SEQ, SEQ2, U, Words, chunks, mix, prefix, ranges, tokenize
 
 #: (words, first word of each word's document, end of it) -> (priority, signature, lo, hi) of the
@@ -169,7 +169,7 @@ def repeats_removed(docs: DataFrame, anchors: Anchors, length: int = 50, *, sett
     """
     text, ids = text_or_empty(text_col), Ids(docs, id_col)
     base = docs.select(ids.encode().alias("doc"), F.xxhash64(text).alias("txt"), text.alias("text"))
-    found = materialize(base.mapInArrow(_instance_rows(anchors, length), f"sig long, content long, doc {ids.type}, txt long, at int, n int"), "window-instances")
+    found = materialize(base.mapInArrow(lean(_instance_rows(anchors, length)), f"sig long, content long, doc {ids.type}, txt long, at int, n int"), "window-instances")
     shared = materialize(settle(found), "window-signatures")
     both = found.join(shared, "sig")
     single = both.where("NOT mixed AND doc > smallest").select("doc", "txt", "at", "n")
@@ -178,12 +178,12 @@ def repeats_removed(docs: DataFrame, anchors: Anchors, length: int = 50, *, sett
     settled = mixed.join(contents, ["sig", "content"])
     equal = settled.where("doc > smallest").select("doc", "txt", "at", "n")
     open_ = settled.where("doc = smallest").groupBy("doc", "txt").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    windows = base.join(open_, ["doc", "txt"]).select("doc", "txt", "text", "spans").mapInArrow(_window_rows(length), f"window long, again long, doc {ids.type}, txt long, at int")
+    windows = base.join(open_, ["doc", "txt"]).select("doc", "txt", "text", "spans").mapInArrow(lean(_window_rows(length)), f"window long, again long, doc {ids.type}, txt long, at int")
     # One row per content and window, so a key has as many rows as there are different contents around it.
     windows = materialize(windows, "window-windows")
     first = windows.groupBy("window", "again").agg(F.min("doc").alias("smallest"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
     late = windows.join(first, ["window", "again"]).where("doc > smallest").select("doc", "txt", "at", F.lit(1).alias("n"))
     spans = single.unionByName(equal).unionByName(late).groupBy("doc", "txt").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
     whole = base.join(spans, ["doc", "txt"], "left").select("doc", "txt", "text", "spans")
-    out = whole.mapInArrow(_removed_rows(length, with_text), REMOVED.format(id=ids.type))
+    out = whole.mapInArrow(lean(_removed_rows(length, with_text)), REMOVED.format(id=ids.type))
     return out.select(ids.decode("doc").alias("doc_id"), "n_words", "n_removed", "kept_sha256", *(["kept_text"] if with_text else []))
