@@ -428,13 +428,15 @@ def _points_of(task: pa.Table) -> np.ndarray:
 SURVIVOR = "cell long, lo int, hi int, key long, component long, other long"
 
 
-def _survivors(percent: int):
+def _survivors(percent: int, sparse: int):
     """What the trees of each task leave; needs no texts.
 
-    A task with SPARSE pairs a row at most sends them as (key, other), so that a pair which meets in many tasks is verified
+    A task with ``sparse`` pairs a row at most sends them as (key, other), so that a pair which meets in many tasks is verified
     once.  One with more sends its rows that are in a pair, to be verified together: so never more than a bounded number a row.
     """
 
+    names = ["cell", "lo", "hi", "key", "component", "other"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tasks in _task_lists(batches):
             pairs, rows = [], []
@@ -445,9 +447,9 @@ def _survivors(percent: int):
                 for x, y in _near_pairs(task, _points_of(task), percent):
                     left[x] = left[y] = True
                     n += len(x)
-                    if n <= SPARSE * task.num_rows:
+                    if n <= sparse * task.num_rows:
                         few.append((x, y))
-                if n > SPARSE * task.num_rows:
+                if n > sparse * task.num_rows:
                     rows.append(task.select(["cell", "lo", "hi", "key", "component"]).filter(pa.array(left)))
                 elif n:
                     key = task.column("key").to_numpy()
@@ -456,10 +458,11 @@ def _survivors(percent: int):
             if pairs:
                 a, b = np.unique(np.concatenate(pairs, axis=1), axis=1)
                 none = [pa.nulls(len(a), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int64())]
-                yield pa.RecordBatch.from_arrays([*none[:3], pa.array(a), none[3], pa.array(b)], ["cell", "lo", "hi", "key", "component", "other"])
+                yield pa.RecordBatch.from_arrays([*none[:3], pa.array(a), none[3], pa.array(b)], names)
             if rows:
                 dense = pa.concat_tables(rows)
-                yield from dense.append_column("other", pa.nulls(dense.num_rows, pa.int64())).combine_chunks().to_batches()
+                columns = [dense.column(c).combine_chunks() for c in names[:-1]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(dense.num_rows, pa.int64())], names)
 
     return run
 
@@ -571,7 +574,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     rows = rows.withColumn("block", F.when(is_main, F.pmod(F.xxhash64("key"), "main_blocks")).otherwise(F.col("main_blocks") + F.pmod(F.xxhash64("key"), "blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.when(is_main, F.expr("sequence(main_blocks, main_blocks + blocks - 1)")).otherwise(F.expr("sequence(0, main_blocks + blocks - 1)"))))
     tasks = rows.select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "component", F.col("n").cast("long").alias("n"), "counts")
-    near = materialize(_dealt(tasks, tasks_).mapInArrow(lean(_survivors(percent)), SURVIVOR), "jaccard-survivors")
+    near = materialize(_dealt(tasks, tasks_).mapInArrow(lean(_survivors(percent, SPARSE)), SURVIVOR), "jaccard-survivors")
     pairs = near.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")).distinct()
     dense = near.where("other IS NULL").drop("other")
     # One task for each set of rows left.
