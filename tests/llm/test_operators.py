@@ -132,12 +132,13 @@ def test_sparse_and_dense_tasks_in_one_batch():
     import pyarrow as pa
 
     counts = np.full(20, 3, np.uint8).tobytes()
-    schema = pa.schema([pa.field(n, t, nullable=False) for n, t in (("cell", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("block", pa.int32()), ("key", pa.int64()), ("component", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()))])
-    rows = [(1, 0, 0, 0, k, k, 60, counts) for k in (1, 2)] + [(2, 0, 0, 0, k, k, 60, counts) for k in range(10, 20)]
+    schema = pa.schema([pa.field(n, t, nullable=False) for n, t in (("least", pa.list_(pa.int64())), ("cell", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("block", pa.int32()), ("key", pa.int64()), ("component", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()))])
+    rows = [([1], 1, 0, 0, 0, k, k, 60, counts) for k in (1, 2)] + [([2, 5], 2, 0, 0, 0, k, k, 60, counts) for k in range(10, 20)]
+    rows += [([1, 3], 3, 0, 0, 0, k, k, 60, counts) for k in (1, 2)] + [([3, 4], 3, 0, 0, 0, 7, 7, 60, counts)]
     batch = pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
     out = list(jaccard._survivors(80, 1)(iter([batch])))
     assert len({b.schema for b in out}) == 1
-    assert [(r["key"], r["other"]) for b in out for r in b.to_pylist() if r["other"] is not None] == [(2, 1)]
+    assert [(r["key"], r["other"]) for b in out for r in b.to_pylist() if r["other"] is not None] == [(2, 1), (7, 1), (7, 2)]
     assert sorted(r["key"] for b in out for r in b.to_pylist() if r["other"] is None) == list(range(10, 20))
 
 

@@ -29,6 +29,8 @@ from .textcols import MIX, SEQ, U, WHITE, chunks, mix, prefix, ranges, tokenize
 BAND = 1.4
 #: Points in a leaf of the R-tree, and rows of a cell that one task compares with as many others.
 LEAF, BLOCK = 32, 512
+#: Cells by which a pair is given to one of the cells in which it meets.
+LEAST = 8
 #: Surviving pairs a row up to which a task's pairs are verified one by one, beyond it together in the task.
 SPARSE = 16
 #: Groups of a point where the cells of its band need fewer (4 times the largest size if that is less).
@@ -425,6 +427,28 @@ def _points_of(task: pa.Table) -> np.ndarray:
     return _flat(task.column("counts").combine_chunks()).reshape(task.num_rows, -1)
 
 
+def _least_of(task: pa.Table) -> np.ndarray:
+    """The least open cells of each row, LEAST of them at most, filled up with -1."""
+    column = task.column("least").combine_chunks()
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.full((len(sizes), LEAST), -1, np.int64)
+    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = column.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+def _first_meeting(a: np.ndarray, b: np.ndarray, cell: int) -> np.ndarray:
+    """Which pairs are looked at in this cell: the least in which they meet, if their least cells show it, else every one.
+
+    If two rows have a cell in common among their least ones, the least such is the least they have in common at all.
+    """
+    none = np.iinfo(np.int64).max
+    first = np.full(len(a), none)
+    for i in range(LEAST):
+        same = (a[:, i : i + 1] == b).any(axis=1) & (a[:, i] >= 0)
+        first = np.minimum(first, np.where(same, a[:, i], none))
+    return (first == none) | (first == cell)
+
+
 SURVIVOR = "cell long, lo int, hi int, key long, component long, other long"
 
 
@@ -444,7 +468,10 @@ def _survivors(percent: int, sparse: int):
                 if pa.compute.count_distinct(task.column("component")).as_py() < 2:
                     continue
                 left, few, n = np.zeros(task.num_rows, bool), [], 0
+                least, cell = _least_of(task), task.column("cell")[0].as_py()
                 for x, y in _near_pairs(task, _points_of(task), percent):
+                    own = _first_meeting(least[x], least[y], cell)
+                    x, y = x[own], y[own]
                     left[x] = left[y] = True
                     n += len(x)
                     if n <= sparse * task.num_rows:
@@ -568,12 +595,13 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     in_open = placed.join(open_, "cell").withColumn("band", _band())
     vectors = gathered.select(F.inline("vectors")).join(in_open.select("key", "band").distinct(), ["key", "band"], "left_semi").dropDuplicates(["key", "band"])
     vectors = materialize(vectors, "jaccard-vectors")
-    rows = in_open.join(vectors, ["key", "band"])
+    least = in_open.groupBy("key").agg(F.slice(F.array_sort(F.collect_set("cell")), 1, LEAST).alias("least"))  # a key's cells are bounded by its size
+    rows = in_open.join(vectors, ["key", "band"]).join(least, "key")
     # Blocks of the largest component meet the blocks of the others, never each other.
     is_main = F.col("component") == F.col("main")
     rows = rows.withColumn("block", F.when(is_main, F.pmod(F.xxhash64("key"), "main_blocks")).otherwise(F.col("main_blocks") + F.pmod(F.xxhash64("key"), "blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.when(is_main, F.expr("sequence(main_blocks, main_blocks + blocks - 1)")).otherwise(F.expr("sequence(0, main_blocks + blocks - 1)"))))
-    tasks = rows.select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "component", F.col("n").cast("long").alias("n"), "counts")
+    tasks = rows.select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "component", F.col("n").cast("long").alias("n"), "counts", "least")
     near = materialize(_dealt(tasks, tasks_).mapInArrow(lean(_survivors(percent, SPARSE)), SURVIVOR), "jaccard-survivors")
     pairs = near.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")).distinct()
     dense = near.where("other IS NULL").drop("other")
