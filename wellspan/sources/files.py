@@ -104,14 +104,14 @@ def with_text(files: DataFrame, column: str = "path", name: str = "text") -> Dat
 
 
 def classified(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, kind): zip, dir, file or missing of each path."""
+    """(path, kind): zip, dir, file or missing of each path, written as ``list_files`` writes it."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     rows = []
     for given in paths:
         path = jvm.org.apache.hadoop.fs.Path(given)
         fs = path.getFileSystem(conf)
         kind = "missing" if not fs.exists(path) else "dir" if fs.getFileStatus(path).isDirectory() else "zip" if given.lower().endswith(".zip") else "file"
-        rows.append((plain(given), kind))
+        rows.append((plain(fs.makeQualified(path).toString()), kind))
     return spark.createDataFrame(rows, "path string, kind string")
 
 
