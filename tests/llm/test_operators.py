@@ -312,13 +312,17 @@ def test_cascade_keeps_and_orders(spark, docs):
     assert got == {1: (False, False), 2: (False, False), 3: (False, True)}
 
 
-def levenshtein(a, b):
-    row = list(range(len(b) + 1))
+def edits(a, b):
+    """Edits from ``a`` to each beginning of ``b``, by trying all; a swap of two neighbours is one edit."""
+    rows = [list(range(len(b) + 1))]
     for i, x in enumerate(a):
-        row, old = [i + 1], row
+        row = [i + 1]
         for j, y in enumerate(b):
-            row.append(min(old[j + 1] + 1, row[j] + 1, old[j] + (x != y)))
-    return row
+            row.append(min(rows[-1][j + 1] + 1, row[j] + 1, rows[-1][j] + (x != y)))
+            if i and j and x == b[j - 1] and y == a[i - 1]:
+                row[-1] = min(row[-1], rows[-2][j - 1] + 1)
+        rows.append(row)
+    return rows[-1]
 
 
 def plain_score(model, text):
@@ -331,7 +335,7 @@ def plain_score(model, text):
         weight = toxicity.QUOTED if near & toxicity.REPORTING or any(a < at < b for a, b in quoted) else 1.0
         for term in model.exact:
             body = term.removesuffix("$")
-            row = levenshtein(body, word)
+            row = edits(body, word)
             d = row[-1] if term.endswith("$") else min(row)
             if d == 0 or d == 1 and len(body) >= toxicity.FUZZY_FROM:
                 weights[term, d] = max(weight, weights.get((term, d), 0))
@@ -390,23 +394,17 @@ def test_automaton(term):
     trie, body = toxicity.Trie([term]), term.removesuffix("$")
     letters = "abdilotwe"
 
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a):
-            row, old = [i + 1], row
-            for j, y in enumerate(b):
-                row.append(min(old[j + 1] + 1, row[j] + 1, old[j] + (x != y)))
-        return row
-
     rnd = random.Random(3)
     for _ in range(3000):
         w = list(body)
         for _ in range(rnd.randint(0, 3)):
             at = rnd.randrange(len(w) + 1)
             w[at : at + rnd.randint(0, 1)] = rnd.choice(["", rnd.choice(letters)])
+            if rnd.random() < 0.3:
+                w[at : at + 2] = w[at : at + 2][::-1]
         word = "".join(w)
         if word:
-            row = distance(body, word)
+            row = edits(body, word)
             d = row[-1] if term.endswith("$") else min(row)
             assert trie.match(word) == (((term, d),) if d <= 1 else ()), word
 

@@ -83,7 +83,10 @@ def _letter(character: str) -> bool:
 
 
 class Trie:
-    """Terms letter by letter; ``match`` runs a word's Levenshtein automaton of distance 1 along it."""
+    """Terms letter by letter; ``match`` runs a word's Levenshtein automaton of distance 1 along it.
+
+    A swap of two neighbouring letters is one edit, as a letter more, less or another is.
+    """
 
     def __init__(self, terms: Iterable[str]):
         self.root: dict = {}
@@ -105,9 +108,9 @@ class Trie:
         self.cuts, self.places = sorted(cuts), sorted(places)
 
     def plausible(self, word: str) -> bool:
-        """One edit leaves one half of a term whole: the head in its place, or the tail at most one letter off."""
+        """One edit leaves one half of a term whole, the head in its place or the tail at most one letter off, or swaps the letters where they meet."""
         for n in self.cuts:
-            if word[:n] in self.heads:
+            if word[:n] in self.heads or 0 < n < len(word) and word[: n - 1] + word[n] in self.heads:
                 return True
         for i, j in self.places:
             if word[i:j] in self.tails:
@@ -118,10 +121,10 @@ class Trie:
         """(term, distance) of all terms within distance 1 of the word, stems of its beginning."""
         out: dict[str, int] = {}
         if self.root and self.plausible(word):
-            self._walk(self.root, word, tuple(range(len(word) + 1)), 0, out)
+            self._walk(self.root, word, tuple(range(len(word) + 1)), (), "", 0, out)
         return tuple(sorted(out.items()))
 
-    def _walk(self, node: dict, word: str, row: tuple[int, ...], depth: int, out: dict[str, int]) -> None:
+    def _walk(self, node: dict, word: str, row: tuple[int, ...], above: tuple[int, ...], last: str, depth: int, out: dict[str, int]) -> None:
         for letter, below in node.items():
             if letter == END:
                 for term in below:
@@ -135,8 +138,10 @@ class Trie:
                 new[0] = depth + 1
             for i in range(max(1, lo), hi + 1):
                 new[i] = min(row[i] + 1, new[i - 1] + 1, row[i - 1] + (word[i - 1] != letter))
+                if i > 1 and above and word[i - 2] == letter and word[i - 1] == last:
+                    new[i] = min(new[i], above[i - 2] + 1)
             if min(new) <= 1:
-                self._walk(below, word, tuple(new), depth + 1, out)
+                self._walk(below, word, tuple(new), row, letter, depth + 1, out)
 
 
 @dataclass
