@@ -175,6 +175,24 @@ def test_archives(spark, tmp_path):
     assert recompress.compress_tiffs(spark, [str(tmp_path / "missing")], str(out), materialize)[1]["failed"] == -1
 
 
+def test_archive_directory_is_read_once(spark, tmp_path):
+    """Members are read at their places: an archive whose directory is gone after the listing still gives them all."""
+    import zipfile
+
+    path = tmp_path / "a.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for i, kind in enumerate((zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA)):
+            z.writestr(f"d/é{i}.txt", b"words " * 50 * i, kind)
+    work = materialize(recompress.jobs(spark, [str(path)]), "work")
+    data = path.read_bytes()
+    path.write_bytes(data[: data.index(b"PK\1\2")])
+    done = materialize(recompress.process(work, str(tmp_path / "out")), "done").collect()
+    assert sorted((r["member"], r["success"], r["output_size"]) for r in done) == [(f"d/é{i}.txt", True, 300 * i) for i in range(4)]
+    assert (tmp_path / "out/a/d/é3.txt").read_bytes() == b"words " * 150
+    path.write_bytes(data[:20])
+    assert materialize(recompress.process(work, str(tmp_path / "short")), "short").where("success").count() == 0
+
+
 def test_previews(spark, tmp_path):
     film = np.stack([page(i, (41, 60)) for i in range(5)])
     (tmp_path / "x_2D.ome.tif").write_bytes(tiff.encode(film))
