@@ -171,6 +171,25 @@ def test_words_alike_to_weak_hashes(spark):
     assert sorted(map(tuple, suffix_dedup.dedup_suffixes(df).collect()), key=str) == removed(pairs(df))
 
 
+def test_copies_are_settled_whole(spark, monkeypatch):
+    """Of documents that copy each other only the first is compared by its parts; near copies and repeated rows are."""
+    from wellspan.llm import windows
+
+    rng, kept = random.Random(5), {}
+    words = [f"w{i}" for i in range(300)]
+    base = [rng.choice(words) for _ in range(200)]
+    near = [" ".join(base[:k] + ["odd"] + base[k + 1 :]) for k in (20, 90, 150)]
+    rows = [(i, " ".join(base)) for i in range(1, 40)] + [(50 + i, t) for i, t in enumerate(near * 3)] + [(7, " ".join(base)), (70, near[0]), (70, near[1]), (None, near[2]), (90, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    held = windows.materialize
+    monkeypatch.setattr(windows, "materialize", lambda d, name: kept.setdefault(name, held(d, name)))
+    for op in (substring_dedup.dedup_substrings, suffix_dedup.dedup_suffixes):
+        kept.clear()
+        assert sorted(map(tuple, op(df).collect()), key=str) == removed(pairs(df))
+        compared = kept.get("window-compared", kept["window-mixed"]).select("doc", "txt").distinct().count()
+        assert compared == 4  # one of each text
+
+
 def test_string_ids(spark, docs):
     text = {f"d{d:03}": t for d, t in pairs(docs) if d is not None}
     df = spark.createDataFrame([*text.items(), (None, texts()[9])], "doc_id string, text string")

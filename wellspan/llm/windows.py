@@ -8,8 +8,9 @@ need to be compared only below one signature.  Neighbouring windows mostly share
 1. instances (signature, hash of all words that its windows cover, document, first window, windows);
 2. signatures that occur once are dropped; where a signature has one content throughout, all windows
    of all documents but the smallest are repeats;
-3. where a signature has several contents, equal contents are settled the same way, and one
-   document of each content sends the hashes of its single windows, which settles the rest.
+3. where a signature has several contents, copies of whole documents are settled first, a row each; of what is left
+   equal contents are settled the same way, and one document of each content sends the hashes of its single windows,
+   which settles the rest.
 
 Words are compared by two independent hashes, polynomials of 61 bits modulo a prime with bases of their own: the
 signature and the content of an instance, or the two hashes of a window.
@@ -174,6 +175,13 @@ def repeats_removed(docs: DataFrame, anchors: Anchors, length: int = 50, *, sett
     both = found.join(shared, "sig")
     single = both.where("NOT mixed AND doc > smallest").select("doc", "txt", "at", "n")
     mixed = materialize(both.where("mixed").select(*found.columns), "window-mixed")
+    # A document with the text and all these instances of a smaller one is settled as a whole, in one row; the rest is compared.
+    inside = F.array_sort(F.collect_set(F.struct("at", "n", "sig", "content")))
+    whole_docs = mixed.groupBy("doc", "txt").agg(inside.alias("inside")).withColumn("print", F.xxhash64("inside"))
+    whole_docs = materialize(whole_docs.select("doc", "txt", "print", F.transform("inside", lambda x: F.struct(x["at"].alias("at"), x["n"].alias("n"))).alias("copied")), "window-documents")
+    firsts = materialize(whole_docs.groupBy("txt", "print").agg(F.min("doc").alias("doc")).select("doc", "txt"), "window-firsts")
+    copies = whole_docs.join(firsts, ["doc", "txt"], "left_anti").select("doc", "txt", "copied")
+    mixed = materialize(mixed.join(firsts, ["doc", "txt"], "left_semi"), "window-compared")
     contents = materialize(mixed.groupBy("sig", "content").agg(F.min("doc").alias("smallest")), "window-contents")
     settled = mixed.join(contents, ["sig", "content"])
     equal = settled.where("doc > smallest").select("doc", "txt", "at", "n")
@@ -184,6 +192,8 @@ def repeats_removed(docs: DataFrame, anchors: Anchors, length: int = 50, *, sett
     first = windows.groupBy("window", "again").agg(F.min("doc").alias("smallest"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
     late = windows.join(first, ["window", "again"]).where("doc > smallest").select("doc", "txt", "at", F.lit(1).alias("n"))
     spans = single.unionByName(equal).unionByName(late).groupBy("doc", "txt").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
-    whole = base.join(spans, ["doc", "txt"], "left").select("doc", "txt", "text", "spans")
+    none = F.array().cast("array<struct<at: int, n: int>>")
+    both_spans = F.concat(F.coalesce("spans", none), F.coalesce("copied", none)).alias("spans")
+    whole = base.join(spans, ["doc", "txt"], "left").join(copies, ["doc", "txt"], "left").select("doc", "txt", "text", both_spans)
     out = whole.mapInArrow(lean(_removed_rows(length, with_text)), REMOVED.format(id=ids.type))
     return out.select(ids.decode("doc").alias("doc_id"), "n_words", "n_removed", "kept_sha256", *(["kept_text"] if with_text else []))
