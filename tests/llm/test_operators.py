@@ -142,6 +142,22 @@ def test_sparse_and_dense_tasks_in_one_batch():
     assert sorted(r["key"] for b in out for r in b.to_pylist() if r["other"] is None) == list(range(10, 20))
 
 
+def test_packed_cells_are_deleted_once_they_have_met(spark, docs, monkeypatch):
+    """The largest table doesn't lie on disk beside the texts and their shuffles."""
+    held, made, left = jaccard.materialize, {}, {}
+
+    def kept(df, name, *by):
+        made[name] = held(df, name, *by)
+        if name in ("jaccard-across", "jaccard-cells"):
+            left[name] = spark.read.schema(made["jaccard-gathered"].schema).parquet(made["jaccard-gathered"]._scratch_path).where("blobs IS NOT NULL").count()
+        return made[name]
+
+    monkeypatch.setattr(jaccard, "materialize", kept)
+    got = jaccard.classes(docs, 5, 80).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == grouped(pairs(docs), 5, 80)
+    assert left["jaccard-across"] > 0 and left["jaccard-cells"] == 0
+
+
 def test_one_of_each(spark, docs):
     df = docs.withColumnRenamed("w", "kept_id").withColumnRenamed("row", "its_id")
     least = defaultdict(set)

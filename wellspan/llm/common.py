@@ -67,15 +67,15 @@ def by_few_rows(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(lean(sliced), schema)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table to the shared folder and read it back.
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table to the shared folder, in one folder for each value of ``by`` if given, and read it back.
 
     This cuts the lineage, so a lost executor costs a reread, not a recomputation, and it lets the
     table be used by several branches of a plan at the price of one.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
@@ -83,12 +83,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def discard(*tables: DataFrame) -> None:
     """Delete tables written by ``materialize`` that no plan reads any more, and let Spark drop their shuffles."""
-    jvm = tables[0].sparkSession.sparkContext._jvm
-    conf = tables[0].sparkSession.sparkContext._jsc.hadoopConfiguration()
     for table in tables:
-        path = jvm.org.apache.hadoop.fs.Path(table._scratch_path)
-        path.getFileSystem(conf).delete(path, True)
-    jvm.System.gc()
+        _delete(table.sparkSession, table._scratch_path)
+    drop_shuffles(tables[0].sparkSession)
+
+
+def discard_part(table: DataFrame, folder: str) -> None:
+    """Delete one folder of a table written ``by`` a column, where no plan reads its rows any more, and drop shuffles too."""
+    _delete(table.sparkSession, f"{table._scratch_path}/{folder}")
+    drop_shuffles(table.sparkSession)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of what has been written: they stay until the driver's JVM collects its garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def text_or_empty(text: str | Column) -> Column:

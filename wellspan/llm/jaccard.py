@@ -21,7 +21,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Ids, by_few_rows, discard, lean, materialize, release, text_or_empty
+from .common import Ids, by_few_rows, discard, discard_part, drop_shuffles, lean, materialize, release, text_or_empty
 from .components import components
 from .textcols import MIX, SEQ, U, WHITE, chunks, mix, prefix, ranges, tokenize
 
@@ -311,7 +311,8 @@ class Gathered:
         self.bytes += part.column(2).nbytes
         self.rows += part.num_rows
 
-    def batch(self) -> pa.RecordBatch:
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """One row with the blobs alone (``kind`` 0), one with all else (1): the first are deleted when the cells have met."""
         names = np.array(list(self.sets), np.int64)
         found = Cells(list(self.sets.values()), Bands(self.percent))
         part, cell = named_cells(found.cell, self.parts)
@@ -328,18 +329,19 @@ class Gathered:
         blobs = [pack(first[a:b], key[head][a:b]) if b > a else None for a, b in zip(limit[:-1].tolist(), limit[1:].tolist(), strict=True)]
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         struct = lambda **c: one(pa.StructArray.from_arrays(list(c.values()), list(c)))
+        columns = ["kind", "docs", "vectors", "met", "links", "blobs"]
         vectors = found.vectors
         sizes = [len(s) for s in self.sets.values()]
-        return pa.RecordBatch.from_arrays(
-            [
-                struct(doc=pa.chunked_array(self.docs).combine_chunks(), txt=pa.chunked_array(self.txt).combine_chunks(), key=pa.array(self.keys, pa.int64()), n=pa.array(self.sizes, pa.int32())),
-                struct(key=pa.array([names[v[0]] for v in vectors], pa.int64()), n=pa.array([sizes[v[0]] for v in vectors], pa.int32()), band=pa.array([v[1] for v in vectors], pa.int32()), counts=pa.array([v[2] for v in vectors], pa.binary())),
-                struct(cell=pa.array(cell[many]), key=pa.array(key[many])),
-                struct(a=pa.array([x[0] for x in links], pa.int64()), b=pa.array([x[1] for x in links], pa.int64())),
-                one(pa.array(blobs, pa.binary())),
-            ],
-            ["docs", "vectors", "met", "links", "blobs"],
-        )
+        rest = [
+            struct(doc=pa.chunked_array(self.docs).combine_chunks(), txt=pa.chunked_array(self.txt).combine_chunks(), key=pa.array(self.keys, pa.int64()), n=pa.array(self.sizes, pa.int32())),
+            struct(key=pa.array([names[v[0]] for v in vectors], pa.int64()), n=pa.array([sizes[v[0]] for v in vectors], pa.int32()), band=pa.array([v[1] for v in vectors], pa.int32()), counts=pa.array([v[2] for v in vectors], pa.binary())),
+            struct(cell=pa.array(cell[many]), key=pa.array(key[many])),
+            struct(a=pa.array([x[0] for x in links], pa.int64()), b=pa.array([x[1] for x in links], pa.int64())),
+        ]
+        blobs = one(pa.array(blobs, pa.binary()))
+        kind = lambda k: pa.array([k], pa.int32())
+        yield pa.RecordBatch.from_arrays([kind(0), *(pa.nulls(1, x.type) for x in rest), blobs], columns)
+        yield pa.RecordBatch.from_arrays([kind(1), *rest, pa.nulls(1, blobs.type)], columns)
 
     def _links(self, key: np.ndarray, pivot: np.ndarray) -> list[tuple[int, int]]:
         """Links between sets and the pivot that they share most cells with."""
@@ -363,10 +365,10 @@ def _gathered(k: int, percent: int, parts: int):
                 now = now or Gathered(k, percent, parts, part.schema.field(0).type)
                 now.add(part)
                 if now.bytes >= GATHER_BYTES or now.rows >= GATHER_ROWS:
-                    yield now.batch()
+                    yield from now.batches()
                     now = None
         if now:
-            yield now.batch()
+            yield from now.batches()
 
     return run
 
@@ -569,18 +571,21 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     tasks_ = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = min(MOST_PARTS, 2 * tasks_)
     base = docs.select(ids.encode().alias("doc"), F.xxhash64(text_or_empty(text_col)).alias("txt"), text_or_empty(text_col).alias("text"))
-    schema = f"docs array<struct<doc:{ids.type},txt:long,key:long,n:int>>, vectors array<struct<key:long,n:int,band:int,counts:binary>>, met array<struct<cell:long,key:long>>, links array<struct<a:long,b:long>>, blobs array<binary>"
-    gathered = materialize(base.mapInArrow(lean(_gathered(k, percent, parts)), schema), "jaccard-gathered")
+    schema = f"kind int, docs array<struct<doc:{ids.type},txt:long,key:long,n:int>>, vectors array<struct<key:long,n:int,band:int,counts:binary>>, met array<struct<cell:long,key:long>>, links array<struct<a:long,b:long>>, blobs array<binary>"
+    both = materialize(base.mapInArrow(lean(_gathered(k, percent, parts)), schema), "jaccard-gathered", "kind")
+    gathered = both.where("kind = 1")
     points = gathered.select(F.inline("docs"))
     nodes = points.where("n > 0").groupBy("key").agg(F.min(F.struct("doc", "txt")).alias("rep"))
-    blobs = gathered.select(F.posexplode("blobs").alias("part", "blob")).where("blob IS NOT NULL")
+    blobs = both.where("kind = 0").select(F.posexplode("blobs").alias("part", "blob")).where("blob IS NOT NULL")
     across = materialize(blobs.repartition(parts, "part").groupBy("part").applyInArrow(_meetings, "cell long, key long, pivot long"), "jaccard-across")
+    discard_part(both, "kind=0")
     cell_keys = materialize(across.select("cell", "key").unionByName(gathered.select(F.inline("met"))).distinct(), "jaccard-cells")
     # Each node's best star, by the cells it shares.
     shared = across.where("key <> pivot").groupBy("key", "pivot").agg(F.count("*").alias("shared"))
     stars = materialize(shared.groupBy("key").agg(F.max(F.struct("shared", "pivot")).alias("best")).select(F.col("key").alias("a"), F.col("best.pivot").alias("b")), "jaccard-stars")
     wanted = cell_keys.select("key").distinct().join(nodes, "key").select("rep.doc", "rep.txt", "key")
     texts = materialize(base.join(wanted, ["doc", "txt"]).select("key", "text"), "jaccard-texts")
+    drop_shuffles(docs.sparkSession)  # those of all texts, before those of the pairs' texts
     links = materialize(_check(stars, texts, k, percent).unionByName(gathered.select(F.inline("links"))).distinct(), "jaccard-links")
     discard(across, stars)
     now = materialize(components(links), "jaccard-components")
@@ -595,6 +600,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     in_open = placed.join(open_, "cell").withColumn("band", _band())
     vectors = gathered.select(F.inline("vectors")).join(in_open.select("key", "band").distinct(), ["key", "band"], "left_semi").dropDuplicates(["key", "band"])
     vectors = materialize(vectors, "jaccard-vectors")
+    drop_shuffles(docs.sparkSession)
     least = in_open.groupBy("key").agg(F.slice(F.array_sort(F.collect_set("cell")), 1, LEAST).alias("least"))  # a key's cells are bounded by its size
     rows = in_open.join(vectors, ["key", "band"]).join(least, "key")
     # Blocks of the largest component meet the blocks of the others, never each other.
@@ -603,6 +609,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     rows = rows.withColumn("other", F.explode(F.when(is_main, F.expr("sequence(main_blocks, main_blocks + blocks - 1)")).otherwise(F.expr("sequence(0, main_blocks + blocks - 1)"))))
     tasks = rows.select("cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "key", "component", F.col("n").cast("long").alias("n"), "counts", "least")
     near = materialize(_dealt(tasks, tasks_).mapInArrow(lean(_survivors(percent, SPARSE)), SURVIVOR), "jaccard-survivors")
+    drop_shuffles(docs.sparkSession)
     pairs = near.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")).distinct()
     dense = near.where("other IS NULL").drop("other")
     # One task for each set of rows left.
@@ -617,7 +624,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     least = materialize(named.groupBy("component").agg(F.min("doc").alias("least")), "jaccard-least")
     of_key = materialize(named.join(least, "component").select("key", "least"), "jaccard-classes")
     out = materialize(points.select("doc", "key", "n").join(of_key, "key", "left"), "jaccard-documents")
-    discard(gathered, cell_keys, texts, links, now, placed, largest, open_, vectors, near, more, final, least, of_key)
+    discard(both, cell_keys, texts, links, now, placed, largest, open_, vectors, near, more, final, least, of_key)
     return out.select(ids.decode("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), ids.decode(F.coalesce(F.when(F.col("n") > 0, F.col("least")), F.col("doc"))).alias("component_id"), F.col("key").alias("set_key"))
 
 
