@@ -206,6 +206,26 @@ def test_copies_are_settled_whole(spark, monkeypatch):
         assert compared == 4  # one of each text
 
 
+def test_repeats_inside_texts_are_one_row(spark, monkeypatch):
+    """A line repeated over and over is one row a document, whether all documents go on alike (one content a signature) or one does not."""
+    from wellspan.llm import windows
+
+    rng, kept = random.Random(6), {}
+    words = [f"w{i}" for i in range(300)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    line, odd = " ".join(f"l{i}" for i in range(12)), " ".join(f"l{i}" for i in range(12) if i != 5)
+    rows = [(i, f"{prose(20)} {' '.join([line] * rng.randint(60, 70))} {prose(20)}") for i in range(20)]
+    rows += [(30, " ".join([line] * 4 + [odd] + [line] * 4 + [odd])), (31, " ".join([line] * 6)), (None, rows[3][1]), (3, rows[3][1]), (32, "")]
+    held = windows.materialize
+    monkeypatch.setattr(windows, "materialize", lambda d, name: kept.setdefault(name, held(d, name)))
+    for op in (substring_dedup.dedup_substrings, suffix_dedup.dedup_suffixes):
+        for some in (rows, rows[:20]):
+            kept.clear()
+            df = spark.createDataFrame(some, "doc_id long, text string")
+            assert sorted(map(tuple, op(df).collect()), key=str) == removed(pairs(df))
+            assert kept["window-instances"].count() < 25 * len(some)  # 60 lines or more, each of one instance at least
+
+
 def test_string_ids(spark, docs):
     text = {f"d{d:03}": t for d, t in pairs(docs) if d is not None}
     df = spark.createDataFrame([*text.items(), (None, texts()[9])], "doc_id string, text string")

@@ -5,7 +5,8 @@ alone.  So equal windows, wherever they stand, have equal anchors with equal sig
 need to be compared only below one signature.  Neighbouring windows mostly share their anchor: one row
 ("instance") stands for all of them.  The steps:
 
-1. instances (signature, hash of all words that its windows cover, document, first window, windows);
+1. instances (signature, hash of all words that its windows cover, document, first window, windows); those of a text
+   that are equal are one row with all their places, so a passage repeated inside a text counts once;
 2. signatures that occur once are dropped; where a signature has one content throughout, all windows
    of all documents but the smallest are repeats;
 3. where a signature has several contents, copies of whole documents are settled first, a row each; of what is left
@@ -84,6 +85,21 @@ def instances(w: Words, anchors: Anchors, length: int) -> tuple[np.ndarray, ...]
     return sig.view(np.int64), content.view(np.int64), text, (p1 - first[p1]), (p2 - p1 + 1)
 
 
+def grouped(sig: np.ndarray, content: np.ndarray, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """First instance of each (text, signature, content), and the other places of those that have several (else null)."""
+    if not len(sig):
+        return np.zeros(0, np.int64), pa.nulls(0, pa.list_(pa.int32()))
+    order = np.lexsort((at, content, sig, text))
+    keys = [x[order] for x in (text, sig, content)]
+    head = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
+    size = np.diff(np.append(head, len(order)))
+    rest = np.ones(len(order), bool)
+    rest[head] = False
+    ends = np.append(0, np.cumsum(size - 1)).astype(np.int32)
+    places = pa.ListArray.from_arrays(pa.array(ends, mask=np.append(size == 1, False)), pa.array(at[order][rest].astype(np.int32)))
+    return order[head], places
+
+
 def taken(column: pa.Array, at: np.ndarray) -> pa.Array:
     return column.take(pa.array(at))
 
@@ -93,7 +109,9 @@ def _instance_rows(anchors: Anchors, length: int):
         for batch in batches:
             for part in chunks(batch, 2):
                 sig, content, text, at, n = instances(tokenize(part.column(2)), anchors, length)
-                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(content), taken(part.column(0), text), taken(part.column(1), text), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], ["sig", "content", "doc", "txt", "at", "n"])
+                first, more = grouped(sig, content, text, at)
+                sig, content, text, at, n = (x[first] for x in (sig, content, text, at, n))
+                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(content), taken(part.column(0), text), taken(part.column(1), text), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), more], ["sig", "content", "doc", "txt", "at", "n", "more"])
 
     return run
 
@@ -115,14 +133,20 @@ def _window_rows(length: int):
 
 
 def _spans(column: pa.Array, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word in the chunk, windows, text) of a list<struct<at, n>> column."""
+    """(first word in the chunk, windows, text) of a list<struct<at, n, more>> column; more: other places with as many windows."""
     flat = column.flatten()
     per = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     text = np.repeat(np.arange(len(per)), per)
-    at, n = (np.asarray(flat.field(i)).astype(np.int64) for i in (0, 1))
-    return at + starts[text], n, text
+    at, n, more = flat.flatten()
+    times = more.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at, n = (np.asarray(x).astype(np.int64) for x in (at, n))
+    at, n, text = np.append(at, np.asarray(more.flatten()).astype(np.int64)), np.append(n, np.repeat(n, times)), np.append(text, np.repeat(text, times))
+    order = np.argsort(text, kind="stable")
+    return (at + starts[text])[order], n[order], text[order]
 
 
+#: First window of an instance, its windows, and first windows of the same text's other instances that are equal.
+SPAN, PLACES = "at int, n int, more array<int>", ("at", "n", "more")
 REMOVED = "doc {id}, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
@@ -170,29 +194,29 @@ def repeats_removed(docs: DataFrame, anchors: Anchors, length: int = 50, *, sett
     """
     text, ids = text_or_empty(text_col), Ids(docs, id_col)
     base = docs.select(ids.encode().alias("doc"), F.xxhash64(text).alias("txt"), text.alias("text"))
-    found = materialize(base.mapInArrow(lean(_instance_rows(anchors, length)), f"sig long, content long, doc {ids.type}, txt long, at int, n int"), "window-instances")
+    found = materialize(base.mapInArrow(lean(_instance_rows(anchors, length)), f"sig long, content long, doc {ids.type}, txt long, {SPAN}"), "window-instances")
     shared = materialize(settle(found), "window-signatures")
     both = found.join(shared, "sig")
-    single = both.where("NOT mixed AND doc > smallest").select("doc", "txt", "at", "n")
+    single = both.where("NOT mixed AND doc > smallest").select("doc", "txt", *PLACES)
     mixed = materialize(both.where("mixed").select(*found.columns), "window-mixed")
     # A document with the text and all these instances of a smaller one is settled as a whole, in one row; the rest is compared.
-    inside = F.array_sort(F.collect_set(F.struct("at", "n", "sig", "content")))
+    inside = F.array_sort(F.collect_set(F.struct("at", "n", "sig", "content", "more")))
     whole_docs = mixed.groupBy("doc", "txt").agg(inside.alias("inside")).withColumn("print", F.xxhash64("inside"))
-    whole_docs = materialize(whole_docs.select("doc", "txt", "print", F.transform("inside", lambda x: F.struct(x["at"].alias("at"), x["n"].alias("n"))).alias("copied")), "window-documents")
+    whole_docs = materialize(whole_docs.select("doc", "txt", "print", F.transform("inside", lambda x: F.struct(*[x[c].alias(c) for c in PLACES])).alias("copied")), "window-documents")
     firsts = materialize(whole_docs.groupBy("txt", "print").agg(F.min("doc").alias("doc")).select("doc", "txt"), "window-firsts")
     copies = whole_docs.join(firsts, ["doc", "txt"], "left_anti").select("doc", "txt", "copied")
     mixed = materialize(mixed.join(firsts, ["doc", "txt"], "left_semi"), "window-compared")
     contents = materialize(mixed.groupBy("sig", "content").agg(F.min("doc").alias("smallest")), "window-contents")
     settled = mixed.join(contents, ["sig", "content"])
-    equal = settled.where("doc > smallest").select("doc", "txt", "at", "n")
-    open_ = settled.where("doc = smallest").groupBy("doc", "txt").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    equal = settled.where("doc > smallest").select("doc", "txt", *PLACES)
+    open_ = settled.where("doc = smallest").groupBy("doc", "txt").agg(F.collect_list(F.struct(*PLACES)).alias("spans"))
     windows = base.join(open_, ["doc", "txt"]).select("doc", "txt", "text", "spans").mapInArrow(lean(_window_rows(length)), f"window long, again long, doc {ids.type}, txt long, at int")
     # One row per content and window, so a key has as many rows as there are different contents around it.
     windows = materialize(windows, "window-windows")
     first = windows.groupBy("window", "again").agg(F.min("doc").alias("smallest"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
-    late = windows.join(first, ["window", "again"]).where("doc > smallest").select("doc", "txt", "at", F.lit(1).alias("n"))
-    spans = single.unionByName(equal).unionByName(late).groupBy("doc", "txt").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
-    none = F.array().cast("array<struct<at: int, n: int>>")
+    late = windows.join(first, ["window", "again"]).where("doc > smallest").select("doc", "txt", "at", F.lit(1).alias("n"), F.lit(None).cast("array<int>").alias("more"))
+    spans = single.unionByName(equal).unionByName(late).groupBy("doc", "txt").agg(F.collect_set(F.struct(*PLACES)).alias("spans"))
+    none = F.array().cast(f"array<struct<{SPAN}>>")
     both_spans = F.concat(F.coalesce("spans", none), F.coalesce("copied", none)).alias("spans")
     whole = base.join(spans, ["doc", "txt"], "left").join(copies, ["doc", "txt"], "left").select("doc", "txt", "text", both_spans)
     out = whole.mapInArrow(lean(_removed_rows(length, with_text)), REMOVED.format(id=ids.type))
