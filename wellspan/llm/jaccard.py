@@ -568,6 +568,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 90, *, id_col: str = "do
     what is then still in different components goes, with all pairs across components, through the R-tree.
     """
     ids = Ids(docs, id_col)
+    Bands(percent)  # refuses a percentage here, not in a task
     tasks_ = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = min(MOST_PARTS, 2 * tasks_)
     base = docs.select(ids.encode().alias("doc"), F.xxhash64(text_or_empty(text_col)).alias("txt"), text_or_empty(text_col).alias("text"))

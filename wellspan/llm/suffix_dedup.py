@@ -28,7 +28,7 @@ def minimisers(words: np.ndarray, first: np.ndarray, end: np.ndarray):
     return mix(gram ^ U(SEQ)), gram, at, at + GRAM
 
 
-RUN = "sig long, rows long, least long, most long, smallest long"
+RUN = "sig long, rows long, least long, most long, smallest {id}"
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,10 +39,11 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig, content, doc = (np.asarray(batch.column(i)) for i in range(3))
         head = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         size = np.diff(np.append(head, len(sig)))
-        out = [sig[head], size, np.minimum.reduceat(content, head), np.maximum.reduceat(content, head), np.minimum.reduceat(doc, head)]
+        out = [sig[head], size, np.minimum.reduceat(content, head), np.maximum.reduceat(content, head)]
         keep = size > 1
         keep[[0, -1]] = True
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep].astype(np.int64)) for x in out], ["sig", "rows", "least", "most", "smallest"])
+        smallest = pa.array(np.minimum.reduceat(doc, head)[keep], batch.schema.field(2).type)
+        yield pa.RecordBatch.from_arrays([*(pa.array(x[keep].astype(np.int64)) for x in out), smallest], ["sig", "rows", "least", "most", "smallest"])
 
 
 def sorted_neighbours(found: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def sorted_neighbours(found: DataFrame) -> DataFrame:
     """
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["sig", "content", "doc"]
-    runs = found.select(*order).repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_neighbours, RUN)
+    runs = found.select(*order).repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_neighbours, RUN.format(id=dict(found.dtypes)["doc"].replace("bigint", "long")))
     sums = runs.groupBy("sig").agg(F.sum("rows").alias("rows"), (F.min("least") != F.max("most")).alias("mixed"), F.min("smallest").alias("smallest"))
     return sums.where("rows > 1").drop("rows")
 
